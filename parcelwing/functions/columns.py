@@ -157,3 +157,22 @@ def fixed_avg(value, digits: int) -> Column:
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """part in percent of whole, null when whole is zero."""
     return round_half_up(safe_divide(part.cast("double") * 100.0, whole), digits)
+
+
+def greatest_or_null(*values) -> Column:
+    """Largest value, null as soon as one is null (the built-in skips nulls)."""
+    columns = [_col(v) for v in values]
+    known = columns[0].isNotNull()
+    for column in columns[1:]:
+        known = known & column.isNotNull()
+    return F.when(known, F.greatest(*columns))
+
+
+def positive_hash(*values) -> Column:
+    """Non-negative 64-bit hash; the sign bit is cleared, so no value overflows."""
+    return F.xxhash64(*[_col(v) for v in values]).bitwiseAND(F.lit(9223372036854775807))
+
+
+def element_or_null(items, index) -> Column:
+    """Zero-based array element, null outside the array."""
+    return F.get(items, index)
