@@ -401,8 +401,6 @@ CTES["kpi_delivery_performance"] = f"""
     {favg('departure_delay_min', 0)} AS avg_departure_delay_min
   FROM fct_deliveries GROUP BY report_date"""
 
-_NAMES = re.compile(r"\b(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
-
 
 def compose(body: str, extra: dict[str, str] | None = None) -> str:
     """A full statement: the body preceded by the expressions it needs."""
@@ -421,4 +419,5 @@ def compose(body: str, extra: dict[str, str] | None = None) -> str:
     if not ordered:
         return body
     heads = ",\n".join(f"{name} AS ({known[name]})" for name in ordered)
-    return f"WITH {heads}\n{body}"
+    own = body.strip()
+    return f"WITH {heads},\n{own[5:]}" if own.startswith("WITH ") else f"WITH {heads}\n{body}"

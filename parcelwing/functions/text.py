@@ -20,9 +20,13 @@ def tokens(text) -> Column:
     return F.split(F.lower(text), "[^a-z]+")
 
 
+def members(items, words) -> Column:
+    """The items of an array that belong to a word list, repeats included."""
+    return F.filter(items, lambda item: item.isin(*words))
+
+
 def dictionary_words(text, words) -> Column:
-    """The tokens of a text that belong to a word list, repeats included."""
-    return F.filter(tokens(text), lambda token: token.isin(*words))
+    return members(tokens(text), words)
 
 
 def with_sentiment(df: DataFrame, text: str, lexicon: Lexicon = rules.SENTIMENT_LEXICON,
@@ -71,7 +75,7 @@ def with_text_category(df: DataFrame, text: str, categories: dict[str, tuple] =
     words = [w for group in categories.values() for w in group]
     picked = df.withColumn("_hits", dictionary_words(text, words))
     for i, group in enumerate(categories.values()):
-        picked = picked.withColumn(f"_n{i}", F.size(F.filter("_hits", lambda token, g=group: token.isin(*g))))
+        picked = picked.withColumn(f"_n{i}", F.size(members("_hits", group)))
     scores = [F.col(f"_n{i}") for i in range(len(categories))]
     best = F.greatest(*scores)
     chain = F.when(best.isNull() | (best <= 0), default)

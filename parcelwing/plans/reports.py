@@ -25,8 +25,8 @@ def _rows() -> Column:
 
 
 def _mean(column: str) -> Column:
-    """Mean of an arbitrary measure to six decimals, independent of row order."""
-    return C.round_half_up(C.fixed_avg(column, 9), 6)
+    """Mean of an arbitrary measure to five decimals, independent of row order."""
+    return C.round_half_up(C.fixed_avg(column, 7), 5)
 
 
 def latest_and_previous(df: DataFrame, ts: str, measures: list[str]) -> DataFrame:
