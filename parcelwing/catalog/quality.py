@@ -100,7 +100,8 @@ SUMMARY = _union([
     _part("gold not null", "check_gold_not_null", "check_column", "null_count", _ZERO),
     _part("flow", "check_layer_counts", "check_name", "gold_count", "source_count", "'INFO'"),
     _part("sentiment", "check_populated_pct", "check_name", "good_records", "total_records"),
-    _part("sentiment", "check_label_valid", "check_name", "good_records", "total_records"),
+    f"SELECT 'sentiment' AS check_group, 'sentiment label valid' AS check_name, {_INVALID} AS observed, "
+    f"{_ZERO} AS expected, {_status(f'{_INVALID} = 0')} FROM silver_delivery_feedback",
 ])
 query("validation_summary", SUMMARY)(lambda c: V.validation_summary(c.layers))
 

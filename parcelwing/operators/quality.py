@@ -6,6 +6,7 @@ turns into one row per check.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -99,3 +100,41 @@ def check_share(df: DataFrame, name: str, good: Column, passed) -> DataFrame:
         F.lit(name).alias("check_name"), "total_records", "good_records",
         C.percent(ok, total).alias("pct_good"), verdict(passed(total, ok)),
     )
+
+
+def profile(df: DataFrame, table: str, figures: dict[str, Column]) -> DataFrame:
+    """Named figures of one table from one pass, as (table, figure, value) rows."""
+    totals = df.agg(*[column.cast("bigint").alias(f"_f{i}") for i, column in enumerate(figures.values())])
+    pairs = [x for i, name in enumerate(figures) for x in (F.lit(name), F.col(f"_f{i}"))]
+    return totals.select(F.lit(table).alias("table"), F.stack(F.lit(len(figures)), *pairs).alias("figure", "value"))
+
+
+class Finding(NamedTuple):
+    """One report row: what was observed, what was expected, and the judgement."""
+
+    group: str
+    name: str
+    observed: tuple[str, str]
+    expected: tuple[str, str] | int
+    status: Callable[[Column, Column], Column]
+
+
+def report(figures: DataFrame, findings: list[Finding]) -> DataFrame:
+    """Judge all findings from the figures: one small aggregate, then one row each."""
+    wanted = dict.fromkeys(
+        ref for f in findings for ref in (f.observed, f.expected) if isinstance(ref, tuple))
+    names = {ref: f"_c{i}" for i, ref in enumerate(wanted)}
+    cells = [
+        F.max(F.when((F.col("table") == table) & (F.col("figure") == figure), F.col("value"))).alias(name)
+        for (table, figure), name in names.items()
+    ]
+
+    def cell(ref) -> Column:
+        return F.col(names[ref]) if isinstance(ref, tuple) else F.lit(ref).cast("bigint")
+
+    rows = []
+    for f in findings:
+        observed, expected = cell(f.observed), cell(f.expected)
+        rows += [F.lit(f.group), F.lit(f.name), observed, expected, f.status(observed, expected)]
+    listed = F.stack(F.lit(len(findings)), *rows)
+    return figures.agg(*cells).select(listed.alias("check_group", "check_name", "observed", "expected", "status"))

@@ -132,15 +132,19 @@ def check_not_null(layers: Layers) -> DataFrame:
     return _required(layers.silver, SILVER_REQUIRED)
 
 
-def check_foreign_key(layers: Layers) -> DataFrame:
-    return Q.stacked([
+def _references(layers: Layers) -> list[DataFrame]:
+    return [
         Q.check_orphans(reference_name(child, column, parent), layers.silver[f"silver_{child}"], column,
                         layers.silver[f"silver_{parent}"], TABLES[parent].key)
         for child, column, parent in CHECKED_REFERENCES
-    ])
+    ]
 
 
-def check_range(layers: Layers) -> DataFrame:
+def check_foreign_key(layers: Layers) -> DataFrame:
+    return Q.stacked(_references(layers))
+
+
+def _range_specs() -> list[Q.RuleSpec]:
     specs = []
     for model, column, low, high, open_low in RANGES:
         value = F.col(column)
@@ -148,12 +152,19 @@ def check_range(layers: Layers) -> DataFrame:
         if high is not None:
             outside = outside | (value > high)
         specs.append(Q.RuleSpec(range_name(model, column, low, high, open_low), model, outside))
-    return _by_model(specs, layers.silver, "check_name", "violation_count")
+    return specs
+
+
+def check_range(layers: Layers) -> DataFrame:
+    return _by_model(_range_specs(), layers.silver, "check_name", "violation_count")
+
+
+def _vocabulary_specs(vocabularies=VOCABULARIES) -> list[Q.RuleSpec]:
+    return [Q.RuleSpec(f"{m}.{c} vocabulary", m, ~F.col(c).isin(*allowed)) for m, c, allowed in vocabularies]
 
 
 def check_accepted_values(layers: Layers, vocabularies=VOCABULARIES) -> DataFrame:
-    specs = [Q.RuleSpec(f"{m}.{column} vocabulary", m, ~F.col(column).isin(*allowed)) for m, column, allowed in vocabularies]
-    return _by_model(specs, layers.silver, "check_name", "violation_count")
+    return _by_model(_vocabulary_specs(vocabularies), layers.silver, "check_name", "violation_count")
 
 
 def check_gold_count(layers: Layers) -> DataFrame:
@@ -211,28 +222,68 @@ def check_layer_inventory(inventory: DataFrame) -> DataFrame:
     return sized.withColumn("status", Q.verdict(F.col("expected_relations") == F.col("actual_relations")))
 
 
-def validation_summary(layers: Layers) -> DataFrame:
-    """Every check as (check_group, check_name, observed, expected, status)."""
+def _same(otherwise: str = Q.FAIL):
+    return lambda observed, expected: Q.verdict(observed == expected, otherwise)
 
-    def rows(group: str, df: DataFrame, name: str, observed: str, expected) -> DataFrame:
-        wanted = F.col(expected) if isinstance(expected, str) else F.lit(expected)
-        return df.select(
-            F.lit(group).alias("check_group"), F.col(name).alias("check_name"),
-            F.col(observed).cast("bigint").alias("observed"), wanted.cast("bigint").alias("expected"), "status",
-        )
 
-    flows = check_layer_counts(layers).withColumn("status", F.lit("INFO"))
-    return Q.stacked([
-        rows("row count", check_row_count_match(layers), "entity", "bronze_count", "source_count"),
-        rows("silver key", check_pk_unique(layers), "model", "distinct_keys", "total_rows"),
-        rows("silver not null", check_not_null(layers), "check_column", "null_count", 0),
-        rows("reference", check_foreign_key(layers), "relationship", "orphan_count", 0),
-        rows("range", check_range(layers), "check_name", "violation_count", 0),
-        rows("vocabulary", check_accepted_values(layers), "check_name", "violation_count", 0),
-        rows("gold count", check_gold_count(layers), "check_name", "gold_count", "silver_count"),
-        rows("gold key", check_gold_pk_unique(layers), "model", "distinct_keys", "total_rows"),
-        rows("gold not null", check_gold_not_null(layers), "check_column", "null_count", 0),
-        rows("flow", flows, "check_name", "gold_count", "source_count"),
-        rows("sentiment", check_populated_pct(layers), "check_name", "good_records", "total_records"),
-        rows("sentiment", check_label_valid(layers), "check_name", "good_records", "total_records"),
-    ])
+def _info(observed, expected):
+    return F.lit("INFO")
+
+
+def _rules() -> list[tuple[str, Q.RuleSpec]]:
+    """Every per-row rule of the suite with the group it is reported under."""
+    found = [("silver not null", Q.RuleSpec(f"{m}.{c}", m, F.col(c).isNull())) for m, c in SILVER_REQUIRED]
+    found += [("range", spec) for spec in _range_specs()]
+    found += [("vocabulary", spec) for spec in _vocabulary_specs()]
+    found += [("gold not null", Q.RuleSpec(f"{m}.{c}", m, F.col(c).isNull())) for m, c in GOLD_REQUIRED]
+    return found
+
+
+def validation_summary(layers: Layers) -> DataFrame:
+    """Every check as (check_group, check_name, observed, expected, status).
+
+    Each table is read once: its row count, distinct keys and rule violations
+    come from one aggregate, and the checks are judged from those figures.
+    """
+    rows = F.count(F.lit(1))
+    keys = {m: (k,) for m, k in SILVER_KEYS.items()} | dict(GOLD_KEYS)
+    rule_list = _rules()
+    label = F.col("sentiment_label")
+    scored = {
+        "scored": C.count_if(F.col("sentiment_score").isNotNull()),
+        "labelled": C.count_if(label.isin(*rules.SENTIMENT_LABELS)),
+        "mislabelled": C.count_if(~label.isin(*rules.SENTIMENT_LABELS)),
+    }
+
+    parts = [Q.profile(layers.raw[n], f"raw_{n}", {"rows": rows}) for n in TABLES]
+    parts += [Q.profile(layers.bronze[n], f"bronze_{n}", {"rows": rows}) for n in TABLES]
+    for model, columns in keys.items():
+        figures = {"rows": rows, "keys": F.countDistinct(*columns)}
+        for group, spec in rule_list:
+            if spec.model == model:
+                figures[f"{group}:{spec.name}"] = C.count_if(spec.violation)
+        if model == "silver_delivery_feedback":
+            figures |= scored
+        source = layers.silver if model in layers.silver else layers.gold
+        parts.append(Q.profile(source[model], model, figures))
+    parts += [
+        check.select(F.col("relationship").alias("table"), F.lit("orphans").alias("figure"),
+                     F.col("orphan_count").alias("value"))
+        for check in _references(layers)
+    ]
+
+    findings = [Q.Finding("row count", n, (f"bronze_{n}", "rows"), (f"raw_{n}", "rows"), _same()) for n in TABLES]
+    findings += [
+        Q.Finding("silver key" if m in layers.silver else "gold key", m, (m, "keys"), (m, "rows"), _same()) for m in keys]
+    findings += [Q.Finding(g, s.name, (s.model, f"{g}:{s.name}"), 0, _same()) for g, s in rule_list]
+    findings += [Q.Finding("reference", reference_name(*r), (reference_name(*r), "orphans"), 0, _same())
+                 for r in CHECKED_REFERENCES]
+    findings += [Q.Finding("gold count", f"{g} vs {s}", (g, "rows"), (s, "rows"), _same(Q.WARN)) for g, s in GOLD_COUNTS]
+    findings += [Q.Finding("flow", f"{n} flow", (g, "rows"), (f"raw_{n}", "rows"), _info) for n, g in FLOWS]
+    feedback = "silver_delivery_feedback"
+    findings += [
+        Q.Finding("sentiment", "sentiment populated", (feedback, "scored"), (feedback, "rows"),
+                  lambda o, e: Q.verdict(C.safe_divide(o * 100.0, e) >= POPULATED_PCT)),
+        Q.Finding("sentiment", "sentiment label valid", (feedback, "mislabelled"), 0, _same()),
+    ]
+    return Q.report(Q.stacked(parts), findings)
