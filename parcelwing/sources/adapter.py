@@ -364,14 +364,36 @@ def _customer_columns(k: Column) -> list[Column]:
     ]
 
 
-def customer_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Two versions of the customer table: every 17th row deleted, every 11th
-    phone changed, and a new row for every 13th."""
-    raw = RawTables(spark, folder)
+def customer_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three versions of the customer table.
+
+    First change: every 17th row deleted, every 11th phone changed, a new row
+    for every 13th. Second change: half of the deleted rows come back, half of
+    the new ones go, some phones change again and some change back.
+    """
     k = F.col("c_custkey")
-    base = raw.source("customer")
-    before = base.select(*_customer_columns(k))
-    kept = base.filter(k % 17 != 0).select(*_customer_columns(k), (k % 11 == 0).alias("_moved"))
-    kept = kept.withColumn("phone", F.when(F.col("_moved"), F.concat("phone", F.lit("-9"))).otherwise(F.col("phone")))
-    added = base.filter(k % 13 == 0).withColumn("c_custkey", k + 1000000).select(*_customer_columns(k))
-    return before, kept.drop("_moved").unionByName(added)
+    base = RawTables(spark, folder).source("customer")
+    phone = F.col("phone")
+
+    def version(present: Column, suffix: Column, added: Column) -> DataFrame:
+        kept = base.filter(present).select(*_customer_columns(k), suffix.alias("_suffix"))
+        kept = kept.withColumn("phone", F.concat(phone, "_suffix")).drop("_suffix")
+        new = base.filter(added).withColumn("c_custkey", k + 1000000).select(*_customer_columns(k))
+        return kept.unionByName(new)
+
+    moved = F.when(k % 11 == 0, "-9").otherwise("")
+    moved_again = F.when(k % 33 == 0, "-8").when((k % 11 == 0) & (k % 22 != 0), "-9").otherwise("")
+    return (
+        base.select(*_customer_columns(k)),
+        version(k % 17 != 0, moved, k % 13 == 0),
+        version((k % 17 != 0) | (k % 34 == 0), moved_again, (k % 13 == 0) & (k % 26 != 0)),
+    )
+
+
+class StreamingTables(RawTables):
+    """The same derivations over streams of the test tables' files."""
+
+    def source(self, name: str) -> DataFrame:
+        schema = self.spark.read.parquet(f"{self.folder}/{name}.parquet").schema
+        # the pattern form accepts a single file as well as a folder of files
+        return self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}.parquet*")
