@@ -208,7 +208,7 @@ def _group_by_day(c):
        "SELECT o_custkey, CAST((n - 1) // 1000 AS BIGINT) AS chunk, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY n) AS orders_in_order "
        "FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders) GROUP BY ALL")
 def _array_agg_ordered(c):
-    arrays = summaries.ordered_arrays(c.table("orders"), "o_custkey", "o_orderdate", "o_orderkey", unit="month")
+    arrays = summaries.ordered_arrays(c.table("orders"), "o_custkey", "o_orderdate", "o_orderkey", unit="day")
     text = F.array_join(F.transform("items", lambda k: k.cast("string")), ",")
     return arrays.select("o_custkey", "chunk", text.alias("orders_in_order"))
 

@@ -56,7 +56,7 @@ def _full_refresh_sink(c):
 
 @query("view_publish", "SELECT customer_id, customer_name, phone_clean FROM silver_customers")
 def _view_publish(c):
-    view = tables.publish_view(c.silver["silver_customers"], "fleet_silver_customers")
+    view = tables.publish_view(c.silver["silver_customers"], "published_customers")
     return view.select("customer_id", "customer_name", "phone_clean")
 
 

@@ -80,6 +80,6 @@ def assign_round_robin(df: DataFrame, key: str, members: DataFrame, member_key:
 
 def waypoint_rows(routes: DataFrame) -> DataFrame:
     """One row per waypoint of a variant array column `waypoints`."""
-    points = F.from_json(F.to_json("waypoints"), "array<struct<lat:double,lon:double>>")
+    points = F.variant_get("waypoints", "$", "array<struct<lat:double,lon:double>>")
     exploded = routes.select("*", F.posexplode(points).alias("waypoint_index", "_p"))
     return exploded.select("*", "_p.lat", "_p.lon").drop("_p", "waypoints")

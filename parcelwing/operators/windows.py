@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from parcelwing.functions import columns as C
 
 
+def _zero(dtype: str) -> Column:
+    """Stand-in for a null key; a null flag beside it keeps the two apart."""
+    return F.lit("") if dtype == "string" else F.lit(0).cast(dtype)
+
+
 def number_in_order(
     df: DataFrame,
     keys: list[str],
@@ -27,36 +32,47 @@ def number_in_order(
 ) -> DataFrame:
     """Row number, and optionally the previous timestamp, per key by (ts, tie_break).
 
+    `unit` is the length of a bucket: short enough that the rows of one key in
+    one bucket fit a task, no shorter, because the summary grows with it.
     `attributes` is an optional table with unique `keys`. It is joined inner to
     the summary rather than to the rows, so a hot key costs it nothing.
+
+    The rows are grouped by columns that are never null. That lets numbering
+    and the final join compare them with plain equality and share one shuffle;
+    null-safe comparison would cost the rows a second one.
     """
-    bucketed = df.withColumn("_bucket", C.trunc_to(unit, ts))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(ts, *tie_break)
+    types = dict(df.dtypes)
+    if attributes is None:
+        flat = {f"_g{i}": F.coalesce(F.col(k), _zero(types[k])) for i, k in enumerate(keys)}
+        flat |= {f"_null{i}": F.col(k).isNull() for i, k in enumerate(keys)}
+    else:
+        df = df.dropna(subset=keys)
+        flat = {f"_g{i}": F.col(k) for i, k in enumerate(keys)}
+    group = list(flat)
+    bucket = F.coalesce(C.trunc_to(unit, ts), C.moment("0001-01-01 00:00:00"))
+    bucketed = df.withColumns(flat | {"_bucket": bucket})
+
+    inside = Window.partitionBy(*group, "_bucket").orderBy(ts, *tie_break)
     local = bucketed.withColumn("_n", F.row_number().over(inside))
     if previous:
         local = local.withColumn("_prev", F.lag(ts).over(inside))
 
-    summary = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"), F.max(ts).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy("_bucket")
+    summary = bucketed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_rows"), F.max(ts).alias("_last"))
+    across = Window.partitionBy(*group).orderBy("_bucket")
     running = F.sum("_rows").over(across.rowsBetween(Window.unboundedPreceding, -1))
     summary = summary.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_bucket").alias("_kb"),
+        *group, "_bucket",
         F.coalesce(running, F.lit(0)).alias("_before"),
         F.lag("_last").over(across).alias("_earlier"),
     )
     extra: list[str] = []
     if attributes is not None:
         extra = [c for c in attributes.columns if c not in keys]
-        renamed = attributes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *extra)
-        summary = summary.join(renamed, [f"_k{i}" for i in range(len(keys))])
-
-    matches = F.col("_bucket").eqNullSafe(F.col("_kb"))
-    for i, k in enumerate(keys):
-        same = F.col(k) == F.col(f"_k{i}") if attributes is not None else F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        matches = matches & same
-    out = local.join(summary, matches)
-    columns: list[Column] = [F.col(c) for c in df.columns] + [F.col(c) for c in extra]
+        renamed = attributes.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], *extra)
+        summary = summary.join(renamed, group)
+
+    out = local.join(summary, [*group, "_bucket"])
+    columns: list[Column] = [F.col(c) for c in (*df.columns, *extra)]
     columns.append((F.col("_n") + F.col("_before")).alias(number))
     if previous:
         first = F.col("_n") == 1

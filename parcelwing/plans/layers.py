@@ -34,6 +34,10 @@ class _Layer(Mapping):
             self._built[name] = self._build(name)
         return self._built[name]
 
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Use a written table in place of the query that made it."""
+        self._built[name] = df
+
 
 class Layers:
     def __init__(
@@ -72,13 +76,13 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, as_of:
     layers = Layers(raw, as_of, load_ts, lexicon)
     for name in TABLES:
         tables.publish_table(layers.bronze[name], root, "bronze", f"bronze_{name}")
-        layers.bronze._built[name] = tables.read_table(spark, root, "bronze", f"bronze_{name}")
+        layers.bronze.replace(name, tables.read_table(spark, root, "bronze", f"bronze_{name}"))
     feedback = "silver_delivery_feedback"
     tables.publish_table(layers.silver[feedback], root, "silver", feedback)
-    layers.silver._built[feedback] = tables.read_table(spark, root, "silver", feedback)
+    layers.silver.replace(feedback, tables.read_table(spark, root, "silver", feedback))
     for name in silver.MODELS:
         tables.publish_view(layers.silver[name], name)
     for name in gold.MODELS:
         tables.publish_table(layers.gold[name], root, "gold", name)
-        layers.gold._built[name] = tables.read_table(spark, root, "gold", name)
+        layers.gold.replace(name, tables.read_table(spark, root, "gold", name))
     return layers

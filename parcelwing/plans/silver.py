@@ -155,13 +155,13 @@ def mission_timeline(silver: Inputs, as_of: dt.datetime) -> DataFrame:
 
     Equal timestamps are ordered by event id. The mission's own columns travel
     with the per-bucket summary, so events are shuffled once, by mission and
-    hour, and a mission with very many events is spread over its hours.
+    minute, and a mission with very many events is spread over its minutes.
     """
     mission = silver["silver_missions"].select("mission_id", "aircraft_id", "order_id", "mission_status")
     events = silver["silver_mission_events"].drop(LOADED).filter(F.col("mission_id").isNotNull())
     ordered = number_in_order(
         events, ["mission_id"], "event_timestamp", ["event_id"],
-        number="event_sequence", previous="prev_event_timestamp", attributes=mission,
+        number="event_sequence", previous="prev_event_timestamp", unit="minute", attributes=mission,
     )
     return ordered.select(
         "mission_id", "event_type", "event_timestamp", "severity", "description", "lat", "lon",

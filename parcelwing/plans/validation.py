@@ -218,7 +218,8 @@ def check_layer_inventory(inventory: DataFrame) -> DataFrame:
     expected = F
     for layer, size in LAYER_SIZES.items():
         expected = expected.when(F.col("layer") == layer, F.lit(size))
-    sized = inventory.select("layer", expected.alias("expected_relations"), F.col("relations").alias("actual_relations"))
+    sized = inventory.select("layer", expected.alias("expected_relations"), F.col("relations").alias("actual_relations"),
+                             "total_rows")
     return sized.withColumn("status", Q.verdict(F.col("expected_relations") == F.col("actual_relations")))
 
 

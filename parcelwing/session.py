@@ -36,6 +36,8 @@ def build_session(app: str, cores: str = "*", shuffle_partitions: int = 8, memor
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # call-site capture costs two driver round trips per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)

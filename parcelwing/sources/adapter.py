@@ -65,6 +65,8 @@ class RawTables(Mapping):
         self.spark = spark
         self.folder = folder
         self._built: dict[str, DataFrame] = {}
+        self._sources: dict[str, DataFrame] = {}
+        self._base: DataFrame | None = None
 
     def __iter__(self) -> Iterator[str]:
         return iter(TABLES)
@@ -78,13 +80,21 @@ class RawTables(Mapping):
         if name not in self._built:
             table = TABLES[name]
             built = getattr(self, f"_{name}")()
-            typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema]
+            have = dict(built.dtypes)
+            wanted = table.types
+            same = [have[n] == t for n, t in wanted.items()]
+            typed = [n if ok else F.col(n).cast(t).alias(n) for ok, (n, t) in zip(same, wanted.items())]
             self._built[name] = built.select(*typed)
         return self._built[name]
 
-    def source(self, name: str) -> DataFrame:
+    def _open(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def source(self, name: str) -> DataFrame:
+        if name not in self._sources:
+            self._sources[name] = self._open(name)
+        return self._sources[name]
+
     def _size(self, name: str) -> Column:
         """Row count of a source table as a scalar subquery."""
         return self.source(name).agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -108,6 +118,11 @@ class RawTables(Mapping):
         return F.when(status == "F", at)
 
     def _order_base(self) -> DataFrame:
+        if self._base is None:
+            self._base = self._derive_orders()
+        return self._base
+
+    def _derive_orders(self) -> DataFrame:
         k = F.col("o_orderkey")
         depot = k % self._size("supplier")
         lat, lon = self._depot_lat(depot), self._depot_lon(depot)
@@ -393,7 +408,7 @@ def customer_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, Data
 class StreamingTables(RawTables):
     """The same derivations over streams of the test tables' files."""
 
-    def source(self, name: str) -> DataFrame:
+    def _open(self, name: str) -> DataFrame:
         schema = self.spark.read.parquet(f"{self.folder}/{name}.parquet").schema
         # the pattern form accepts a single file as well as a folder of files
         return self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}.parquet*")

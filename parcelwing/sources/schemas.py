@@ -12,13 +12,18 @@ class Table(NamedTuple):
     key: str
     columns: str
 
+    @property
+    def types(self) -> dict[str, str]:
+        """Column names and types in declared order."""
+        return dict(column.split() for column in self.columns.split(", "))
+
     @property
     def schema(self) -> StructType:
         return StructType.fromDDL(self.columns)
 
     @property
     def names(self) -> list[str]:
-        return self.schema.fieldNames()
+        return list(self.types)
 
 
 # fixed values: namespaces, keys, column names and types of the raw data model

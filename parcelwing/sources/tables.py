@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,12 +66,15 @@ def read_gold(spark: SparkSession, name: str, root: str) -> DataFrame:
 
 
 def layer_inventory(spark: SparkSession, prefix: str = "") -> DataFrame:
-    """Number of published relations per layer, from the session catalog.
+    """Published relations of each layer and the rows they hold.
 
-    A relation's layer is the part of its name before the first underscore
-    after `prefix` (bronze_orders, silver_orders, gold_fct_deliveries).
+    Relation names come from the session catalog and start with the layer
+    (bronze_orders, silver_orders, gold_fct_deliveries) after `prefix`.
     """
-    names = [(t.name,) for t in spark.catalog.listTables(pattern=f"{prefix}*")]
-    listed = spark.createDataFrame(names, "relation string")
-    layer = F.regexp_extract(F.substring("relation", len(prefix) + 1, 200), "^(bronze|silver|gold)_", 1)
-    return listed.groupBy(layer.alias("layer")).agg(F.count(F.lit(1)).alias("relations")).filter("layer <> ''")
+    names = [t.name for t in spark.catalog.listTables(pattern=f"{prefix}*")]
+    counted = [
+        spark.table(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name[len(prefix):].split("_")[0]).alias("layer"), "n")
+        for name in names
+    ]
+    listed = reduce(lambda a, b: a.unionByName(b), counted)
+    return listed.groupBy("layer").agg(F.count(F.lit(1)).alias("relations"), F.sum("n").alias("total_rows"))
