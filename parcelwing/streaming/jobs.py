@@ -47,15 +47,24 @@ def apply_changes(changes: DataFrame, log: str, checkpoint: str) -> None:
     _run(changes, log, checkpoint, "append")
 
 
-def current_state(base: DataFrame, log: str, keys: list[str]) -> DataFrame:
-    """The base table with every logged change applied."""
-    rows = base.sparkSession.read.parquet(log)
+def current_state(base: DataFrame, log: str, keys: list[str], after: int = -1) -> DataFrame:
+    """The base table with the logged changes of all batches later than `after` applied."""
+    rows = base.sparkSession.read.parquet(log).filter(F.col(BATCH) > after)
     return cdc.merge(base, cdc.net(rows, keys, BATCH), keys)
 
 
-def compact(base: DataFrame, log: str, keys: list[str], path: str) -> DataFrame:
-    """Write the current state as a new base, so that the log can start afresh."""
-    current_state(base, log, keys).write.mode("overwrite").parquet(path)
+def last_batch(spark: SparkSession, log: str) -> int:
+    """Number of the newest batch in a change log."""
+    return spark.read.parquet(log).agg(F.max(BATCH)).first()[0]
+
+
+def compact(base: DataFrame, log: str, keys: list[str], path: str, after: int = -1) -> DataFrame:
+    """Write the current state as a new base.
+
+    Read the state from then on with `after` set to the batch that was the
+    last one at this time; earlier folders of the log are skipped unread.
+    """
+    current_state(base, log, keys, after).write.mode("overwrite").parquet(path)
     return base.sparkSession.read.parquet(path)
 
 
