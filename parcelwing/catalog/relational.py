@@ -92,8 +92,11 @@ def _left_join_chain(c):
                                "LEFT JOIN raw_missions m USING (order_id) LEFT JOIN raw_routes r ON r.mission_id = m.mission_id")
 def _left_join_transitive(c):
     routes = c.raw["routes"].select("route_id", "mission_id")
-    routed = c.raw["missions"].select("mission_id", "order_id").join(routes, "mission_id", "left")
-    return c.raw["orders"].select("order_id").join(routed, "order_id", "left").select("order_id", "mission_id", "route_id")
+    missions = c.raw["missions"].select("mission_id", "order_id")
+    routed = joins.left_join(missions, routes, "mission_id", ["route_id"])
+    orders = c.raw["orders"].select("order_id")
+    joined = joins.left_join(orders, routed, "order_id", ["mission_id", "route_id"], measured=missions)
+    return joined.select("order_id", "mission_id", "route_id")
 
 
 @query("cross_join", "SELECT mission_id, event_seq FROM raw_missions, (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8]) AS event_seq)")

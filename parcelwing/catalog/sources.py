@@ -8,16 +8,15 @@ from parcelwing.catalog.domain_sql import LOAD_TS
 from parcelwing.catalog.registry import query
 from parcelwing.session import scratch
 from parcelwing.sources import tables
+from parcelwing.sources.adapter import SOURCE_SCHEMAS
 
-ORDERS_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-              "o_orderdate timestamp_ntz, o_orderpriority string")
 # fixed values: short names of the order states in the test data
 STATES = (("F", "finished"), ("O", "open"), ("P", "partial"))
 
 
 @query("raw_scan", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def _raw_scan(c):
-    scan = tables.read_typed(c.spark, f"{c.folder}/orders.parquet", ORDERS_DDL)
+    scan = tables.read_typed(c.spark, f"{c.folder}/orders.parquet", SOURCE_SCHEMAS["orders"])
     return scan.select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 

@@ -76,9 +76,11 @@ def weather_at_flight(flights: DataFrame, weather: DataFrame) -> DataFrame:
 
 def _word_runs(words: Column, length: int) -> Column:
     """All sequences of `length` consecutive words, joined by blanks."""
-    starts = F.sequence(F.lit(1), F.size(words) - (length - 1))
-    runs = F.transform(starts, lambda at: F.array_join(F.slice(words, at, length), " "))
-    return F.when(F.size(words) >= length, runs).otherwise(F.array().cast("array<string>"))
+    runs = words
+    for shift in range(1, length):
+        later = F.slice(words, shift + 1, F.size(words))
+        runs = F.zip_with(runs, later, lambda head, word: F.concat(head, F.lit(" "), word))
+    return runs
 
 
 def parts_mentioned(logs: DataFrame, parts: DataFrame, longest: int = 2) -> DataFrame:
@@ -90,7 +92,7 @@ def parts_mentioned(logs: DataFrame, parts: DataFrame, longest: int = 2) -> Data
     """
     words = F.filter(tokens("description"), lambda token: token != "")
     runs = [_word_runs(F.col("_words"), length) for length in range(1, longest + 1)]
-    phrases = F.array_distinct(F.concat(*runs))
+    phrases = F.array_distinct(F.array_compact(F.concat(*runs)))
     named = logs.withColumn("_words", words).select("log_id", F.explode(phrases).alias("part_name"))
     catalogue = parts.select(F.lower(F.trim("part_name")).alias("part_name")).distinct()
     return named.join(catalogue, "part_name").groupBy("log_id").agg(

@@ -21,3 +21,40 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     known = parent.select(F.col(parent_key).alias("_pk"))
     missing = counted.join(known, F.col("_fk") == F.col("_pk"), "left_anti")
     return missing.withColumnRenamed("_fk", child_key)
+
+
+HOT_ROWS = 1_000_000
+
+
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread_by: list[str],
+    measured: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left outer join whose right side may hold very many rows of one key.
+
+    Spark splits a hot partition of the left side by itself, but an outer join
+    cannot split the right one. So the right rows of a key with more than
+    `hot_rows` rows are salted by `spread_by`, columns that tell them apart,
+    and the left rows of that key are repeated per salt. Such a key has a match
+    for certain, so its unmatched repeats are dropped and nothing else is.
+
+    There are at most rows / hot_rows such keys, so broadcasting their list is
+    bounded (a trillion rows: a million keys). Without a hot key the list is
+    empty and no row is repeated. `measured` may name a cheaper table with at
+    most the right side's rows in which to count the keys.
+    """
+    counted = right if measured is None else measured
+    sizes = counted.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    parts = F.ceil(F.col("_rows") / float(hot_rows)).cast("int").alias("_parts")
+    hot = F.broadcast(sizes.filter(F.col("_rows") > hot_rows).select(key, parts))
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int"), F.lit(0))
+    spread = right.join(hot, key, "left").withColumns({"_salt": salt, "_matched": F.lit(True)}).drop("_parts")
+    salts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    repeated = left.join(hot, key, "left").withColumn("_salt", F.explode(salts))
+    joined = repeated.join(spread, [key, "_salt"], "left")
+    whole = joined.filter(F.col("_parts").isNull() | F.col("_matched").isNotNull())
+    return whole.drop("_salt", "_parts", "_matched")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwing.functions import columns as C
+from parcelwing.operators.joins import left_join
 
 Inputs = Mapping[str, DataFrame]
 
@@ -89,26 +90,28 @@ def dim_depots(silver: Inputs, as_of: dt.datetime) -> DataFrame:
 def fct_deliveries(silver: Inputs, as_of: dt.datetime) -> DataFrame:
     """Order grain; an order with several missions or comments yields several rows.
 
-    Routes are attached to missions first. Orders are then shuffled once, by
-    order id, for both joins, and orders without a mission carry no null key
-    into a further join.
+    Routes are attached to missions first, so orders without a mission carry
+    no null key into a further join, and both joins of orders use the order id.
+    Each child side may be crowded on one parent, hence `left_join`.
     """
     flights = silver["silver_missions"].select(
         "mission_id", "order_id", "aircraft_id", "mission_status", "actual_departure", "actual_arrival",
         F.col("actual_duration_min").alias("flight_duration_min"), "departure_delay_min",
     )
     paths = silver["silver_routes"].select(
-        "mission_id",
+        "route_id", "mission_id",
         F.col("distance_km").alias("route_distance_km"),
         F.col("duration_min").alias("planned_duration_min"),
         F.col("avg_speed_kmh").alias("planned_avg_speed"),
         "route_category",
     )
     opinions = silver["silver_delivery_feedback"].select(
-        "order_id", F.col("rating").alias("feedback_rating"), "sentiment_score", "sentiment_label"
+        "feedback_id", "order_id", F.col("rating").alias("feedback_rating"), "sentiment_score", "sentiment_label"
     )
-    routed = flights.join(paths, "mission_id", "left").filter(F.col("order_id").isNotNull())
-    joined = silver["silver_orders"].join(routed, "order_id", "left").join(opinions, "order_id", "left")
+    flights = flights.filter(F.col("order_id").isNotNull())
+    routed = left_join(flights, paths, "mission_id", ["route_id"])
+    flown = left_join(silver["silver_orders"], routed, "order_id", ["mission_id", "route_id"], measured=flights)
+    joined = left_join(flown, opinions, "order_id", ["feedback_id"])
     return joined.select(
         "order_id", "customer_id", "mission_id", "aircraft_id", "priority", "order_status", "mission_status",
         "package_weight_kg", "straight_line_distance_km", "route_distance_km", "planned_duration_min",

@@ -21,6 +21,20 @@ from parcelwing.sources.schemas import TABLES
 AS_OF = dt.datetime(2024, 1, 31)
 LOAD_TS = dt.datetime(2024, 1, 31, 6)
 
+# fixed values: columns of the generic test tables the derivations read
+SOURCE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 # fixed values: literal material of the test data
 AIRCRAFT_MODELS = (" Kestrel ", "Heron", "Osprey ", " Swallow", "Condor")
 PART_CATEGORIES = (" airframe", "Avionics", "BATTERY", "motor ", "Payload", "rotor", " Sensor ", "wiring")
@@ -88,7 +102,7 @@ class RawTables(Mapping):
         return self._built[name]
 
     def _open(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def source(self, name: str) -> DataFrame:
         if name not in self._sources:
@@ -409,6 +423,5 @@ class StreamingTables(RawTables):
     """The same derivations over streams of the test tables' files."""
 
     def _open(self, name: str) -> DataFrame:
-        schema = self.spark.read.parquet(f"{self.folder}/{name}.parquet").schema
         # the pattern form accepts a single file as well as a folder of files
-        return self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}.parquet*")
+        return self.spark.readStream.schema(SOURCE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet*")

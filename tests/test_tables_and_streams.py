@@ -106,7 +106,7 @@ def test_hourly_stream_equals_batch_over_several_batches(spark, context):
 
     class Inbox(adapter.StreamingTables):
         def _open(self, name):
-            schema = self.spark.read.parquet(f"{self.folder}/{name}.parquet").schema
+            schema = adapter.SOURCE_SCHEMAS[name]
             return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{self.folder}/{name}.parquet")
 
     raw = Inbox(spark, inbox)["flight_logs"]
