@@ -40,9 +40,9 @@ def test_expected_verdicts_of_the_suite(context):
     rows = validation.validation_summary(context.layers).collect()
     assert len(rows) == 91
     failed = {(r.check_group, r.check_name) for r in rows if r.status not in ("PASS", "INFO")}
-    # the test data breaks exactly these rules on purpose
-    assert failed == {("range", "silver_flight_logs.battery_pct from 0 to 100")} | {
-        f for f in failed if f == ("reference", "mission_events.mission_id in missions")}
+    # the test data breaks these rules on purpose; whether an event lacks its mission depends on the scale
+    battery = ("range", "silver_flight_logs.battery_pct from 0 to 100")
+    assert battery in failed and failed <= {battery, ("reference", "mission_events.mission_id in missions")}
 
 
 def test_histogram_covers_all_rows_in_few_bins(spark):
