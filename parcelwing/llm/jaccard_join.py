@@ -33,8 +33,10 @@ from parcelwing.llm.components import connected
 from parcelwing.llm.shingles import mix, shingle_set, shingle_sets
 
 FREQUENT_TOKENS = 65_536   # length of the list of tokens that the order puts last, 512 KB
-BLOCK = 1_024              # sets of one token in a block
+BLOCK = 512                # sets of one token in a block
+STAR = 256                 # sets that are compared with a leader at once
 SMALL = 32                 # groups up to this size are compared without a tree
+WIDE = 8                   # the trees' bitmaps are so many times as wide, nearly all tokens have a bit of their own
 FANOUT = 8
 _CARRIED = pa.schema([("token", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("set_id", pa.int64()),
                       ("n", pa.int64()), ("comp", pa.int64()), ("bits", pa.binary())])
@@ -69,9 +71,9 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
-    """One bit per token in the least power of two of bits that holds the set's size."""
-    width = max(64, 1 << (len(tokens) - 1).bit_length())
+def bitmap(tokens: np.ndarray, spread: int = 1) -> bytes:
+    """One bit per token in the least power of two of bits that holds the set's size, times `spread`."""
+    width = max(64, spread << (len(tokens) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(tokens >> np.uint64(7)) & np.uint64(width - 1)] = 1
     return np.packbits(bits).tobytes()
@@ -90,11 +92,11 @@ def _prefixes(size: int, percent: int, frequent: np.ndarray, batches) -> Iterato
                 late = frequent[at] == tokens
                 ordered = np.concatenate((tokens[~late], tokens[late]))
             prefix = ordered[:prefix_length(len(tokens), percent)].view(np.int64)
-            out.append((doc_id, _set_id(tokens), len(tokens), prefix, bitmap(tokens)))
-        columns = list(zip(*out)) or [[]] * 5
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+            out.append((doc_id, _set_id(tokens), len(tokens), prefix, bitmap(tokens), bitmap(tokens, WIDE)))
+        columns = list(zip(*out)) or [[]] * 6
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                         names=["doc_id", "set_id", "n", "prefix", "bits"])
+                                         names=["doc_id", "set_id", "n", "prefix", "bits", "wide"])
 
 
 # -- bounds ------------------------------------------------------------------
@@ -113,8 +115,7 @@ def _prune_pairs(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
             a, b, na, nb, x, y = row
             if _bound(x, na, y, nb) >= _needed(na, nb, percent):
                 keep.append((a, b))
-        columns = list(zip(*keep)) or [[], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+        yield _pair_batch(keep)
 
 
 def _bound(a: bytes, na: int, b: bytes, nb: int) -> int:
@@ -214,7 +215,8 @@ def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int) -> pa.RecordBatch:
     sizes = np.diff(cuts)
     group = np.repeat(np.arange(len(sizes)), sizes)
     small = (sizes <= SMALL)[group]
-    pairs: set[tuple[int, int]] = set()
+    names = rows.column("token").to_numpy() * 1_000_003 + rows.column("i").to_numpy() * 1_009 + rows.column("j").to_numpy()
+    pairs: dict[tuple[int, int], int] = {}     # pair -> the group that compares it
     for shift in range(1, int(min(SMALL, max(sizes, default=0)))):
         same = (group[shift:] == group[:-shift]) & small[shift:] & (comp[shift:] != comp[:-shift])
         same &= (n[:-shift] * 100 >= percent * n[shift:]) & (n[shift:] * 100 >= percent * n[:-shift])
@@ -223,55 +225,65 @@ def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int) -> pa.RecordBatch:
             pair = (min(x, y), max(x, y))
             if pair not in pairs and _bound(bits[at].as_py(), int(n[at]), bits[at + shift].as_py(),
                                             int(n[at + shift])) >= _needed(int(n[at]), int(n[at + shift]), percent):
-                pairs.add(pair)
+                pairs[pair] = int(names[at])
     for number in np.flatnonzero(sizes > SMALL).tolist():
         low, high = int(cuts[number]), int(cuts[number + 1])
         tree = Tree(n[low:high], comp[low:high], bits.slice(low, high - low).to_pylist())
         u, v = tree.candidates(percent)
         x, y = ids[low + u], ids[low + v]
-        pairs.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()))
-    pairs = {p for p in pairs if p[0] != p[1]}
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        pairs.update(dict.fromkeys(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()), int(names[low])))
+    found = [(g, a, b) for (a, b), g in pairs.items() if a != b]
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(3)],
+                                      names=["g", "a", "b"])
 
 
 # -- verification ------------------------------------------------------------
 
 def _compare(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (a, salt, b): a's own text first (b null), then its candidates'."""
-    own, name = None, None
+    """Links among the texts of a group; rows are sorted by group and name the partners to compare with."""
+    current, sets, asked = None, {}, {}
     for batch in bounded(batches, "text", 4 << 20):
         out = []
-        sets = shingle_sets(encoded(batch, "text"), size)
-        for a, b, tokens in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), sets):
-            if b is None:
-                if _set_id(tokens) == a:
-                    own, name = tokens, a
-            elif a == name and _set_id(tokens) == b:
-                both = len(np.intersect1d(own, tokens, assume_unique=True))
-                if 100 * both >= percent * (len(own) + len(tokens) - both):
+        found = shingle_sets(encoded(batch, "text"), size)
+        for group, name, partners, tokens in zip(*(batch.column(c).to_pylist() for c in ("g", "set_id", "partners")), found):
+            if group != current:
+                out += _links(sets, asked, percent)
+                current, sets, asked = group, {}, {}
+            if _set_id(tokens) == name:
+                sets[name] = tokens
+                asked[name] = partners
+        yield _pair_batch(out)
+    yield _pair_batch(_links(sets, asked, percent))
+
+
+def _links(sets: dict[int, np.ndarray], asked: dict[int, list[int]], percent: int) -> list[tuple[int, int]]:
+    out = []
+    for a, partners in asked.items():
+        for b in partners:
+            if b in sets:
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     out.append((a, b))
-        columns = list(zip(*out)) or [[], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+    return out
+
+
+def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs that link, by exact comparison of the whole texts.
+    """The pairs(g, a, b) that link, by exact comparison of the whole texts.
 
-    Pairs are grouped by their first set; its text is read once per group, and a
-    set with very many partners is spread over several groups.
+    A group g is what a task compares at once: its sets are few, and each text
+    is sent to it once, however many pairs it stands in.
     """
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("set_id"))
-    names = stored(reps.join(wanted, "set_id"), "wanted")
-    texts = stored(docs.join(names, "doc_id").select("set_id", "text"), "texts")
-    many = pairs.groupBy("a").agg((F.floor((F.count(F.lit(1)) - 1) / 256) + 1).alias("parts"))
-    salt = F.pmod(F.xxhash64("b"), F.col("parts")).alias("salt")
-    others = pairs.join(many, "a").select("a", salt, "b").join(
-        texts.withColumnRenamed("set_id", "b"), "b").select("a", "salt", "b", "text")
-    owns = many.join(texts.withColumnRenamed("set_id", "a"), "a").select(
-        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("salt"),
-        F.lit(None).cast("long").alias("b"), "text")
-    rows = owns.union(others)
-    dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    ends = pairs.select("g", F.col("a").alias("set_id"), F.col("b").alias("partner")).union(
+        pairs.select("g", "b", F.lit(None).cast("long")))
+    members = stored(ends.groupBy("g", "set_id").agg(F.collect_list("partner").alias("partners")), "members")
+    names = stored(reps.join(members.select("set_id").distinct(), "set_id"), "wanted")
+    texts = stored(docs.join(names.hint("merge"), "doc_id").select("set_id", "text"), "texts")
+    dealt = members.join(texts, "set_id").select("g", "set_id", "partners", "text").repartition(
+        "g").sortWithinPartitions("g")
     return dealt.mapInArrow(partial(_compare, size, percent), "a long, b long").distinct()
 
 
@@ -293,7 +305,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         F.desc("n"), "token").limit(FREQUENT_TOKENS)
     frequent = np.sort(np.array([r[0] for r in top.select("token").collect()], np.int64).view(np.uint64))
     with_prefix = base.mapInArrow(partial(_prefixes, size, percent, frequent),
-                                  "doc_id long, set_id long, n long, prefix array<long>, bits binary")
+                                  "doc_id long, set_id long, n long, prefix array<long>, bits binary, wide binary")
     sets = stored(with_prefix.join(reps, ["doc_id", "set_id"], "left_semi"), "prefixes")
 
     token = Window.partitionBy("token")
@@ -305,13 +317,16 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 
     leader = F.min(F.struct("doc_id", "set_id")).over(token)["set_id"]
     star = live.withColumn("lead", leader).filter("lead <> set_id").select(
-        F.least("lead", "set_id").alias("a"), F.greatest("lead", "set_id").alias("b")).distinct()
+        F.col("lead").alias("a"), F.col("set_id").alias("b")).distinct()
     first, second = (sets.select(F.col("set_id").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
                      for s in "ab")
     alike = (F.col("a_n") * 100 >= percent * F.col("b_n")) & (F.col("b_n") * 100 >= percent * F.col("a_n"))
     starred = star.join(first, "a").join(second, "b").filter(alike).select("a", "b", "a_n", "b_n", "a_bits", "b_bits")
     tried = stored(starred.mapInArrow(partial(_prune_pairs, percent), "a long, b long"), "stars")
-    star_links = stored(_verified(tried, base, reps, size, percent), "links")
+    many = tried.groupBy("a").agg((F.floor((F.count(F.lit(1)) - 1) / STAR) + 1).alias("parts"))
+    spread = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("parts"))).alias("g")
+    stars = tried.join(many, "a").select(spread, "a", "b")
+    star_links = stored(_verified(stars, base, reps, size, percent), "links")
 
     labels = connected(star_links).withColumnRenamed("vertex", "set_id")
     known = live.join(labels, "set_id", "left").select(
@@ -329,10 +344,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         F.col("i_high") * 100 >= percent * F.col("j_low"))).select("token", "i", "j")
     split = large.join(meets, "token").filter("block = i or block = j")
     columns = ["token", "i", "j", "set_id", "n", "comp"]
-    placed = alone.select(*columns).union(split.select(*columns)).join(sets.select("set_id", "bits"), "set_id")
+    placed = alone.select(*columns).union(split.select(*columns)).join(sets.select("set_id", F.col("wide").alias("bits")), "set_id")
     dealt = placed.select(*columns, "bits").repartition("token", "i", "j").sortWithinPartitions(
         "token", "i", "j", "n", "set_id")
-    crossing = stored(dealt.mapInArrow(partial(_traverse, percent), "a long, b long").distinct(), "crossing")
+    met = dealt.mapInArrow(partial(_traverse, percent), "g long, a long, b long")
+    crossing = stored(met.groupBy("a", "b").agg(F.min("g").alias("g")), "crossing")
     links = _verified(crossing, base, reps, size, percent)
 
     final = connected(star_links.union(links)).withColumnRenamed("vertex", "set_id")

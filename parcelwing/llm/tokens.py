@@ -8,13 +8,19 @@ Texts with doubled spaces, or white space beside a space, go to the library whol
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import regex
-from tokenizers import Tokenizer
 
-REMEMBERED = 600_000    # pieces a worker remembers in one generation
+# Spark runs a task per core; threads of the library would only wait for one another
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+from tokenizers import Tokenizer  # noqa: E402
+
+REMEMBERED = 500_000    # pieces, and pre-tokens, that a worker remembers
 GPT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CLIP_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
@@ -41,6 +47,7 @@ class PieceEncoder:
         self.pattern = regex.compile(CLIP_PATTERN if self.normalizer else GPT_PATTERN)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces: split as the tokenizer does, then merge with its model."""
@@ -53,40 +60,54 @@ class PieceEncoder:
                 fresh.append(piece)
             else:
                 self.known[piece] = old
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        split = [self._words(piece) for piece in fresh]
+        self._merge({w for words in split for w in words if w not in self.words})
+        words = self.words
+        for piece, parts in zip(fresh, split):
+            self.known[piece] = words[parts[0]] if len(parts) == 1 else b"".join([words[w] for w in parts])
+
+    def _words(self, piece: str) -> list[str]:
+        """Pre-tokens of a piece and the blank before it, as the tokenizer splits them."""
+        if self.normalizer:
+            piece = piece.lower() if piece.isascii() else self.normalizer.normalize_str(piece)
+        if piece.isalpha():
+            return [self.lead + piece]
+        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
+            return [self.lead + piece[:-1], piece[-1]]
+        return self.pattern.findall(self.lead + piece)
+
+    def _merge(self, new: set[str]) -> None:
+        """Ids of pre-tokens that are not known yet, by the library's model."""
+        fresh = sorted(new)
         for start in range(0, len(fresh), 2000):
             part = fresh[start:start + 2000]
-            split = []
-            for piece in part:
-                text = self.lead + piece
-                if self.normalizer:
-                    text = text.lower() if text.isascii() else self.normalizer.normalize_str(text)
-                split.append([t if t.isascii() and t.isalnum() else t.encode().decode("latin-1").translate(_ALPHABET)
-                              for t in self.pattern.findall(text)])
-            counts = self.model.encode_batch_fast([t or [""] for t in split], is_pretokenized=True,
-                                                  add_special_tokens=False)
-            for piece, encoding in zip(part, counts):
-                self.known[piece] = np.array(encoding.ids, dtype="<u4").tobytes()
+            shown = [[w.encode().decode("latin-1").translate(_ALPHABET)] for w in part]
+            found = self.model.encode_batch_fast(shown, is_pretokenized=True, add_special_tokens=False)
+            for word, encoding in zip(part, found):
+                self.words[word] = np.array(encoding.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        first: list[str] = []
-        for text in texts:
-            pieces = text.split(" ")
-            odd = len(pieces) > 1 and any(not p or p[0].isspace() or p[-1].isspace() for p in pieces)
-            cut.append(None if odd or not text else pieces[1:])
-            first.append(pieces[0])
-        known = self.known
-        new = {p for pieces in cut if pieces for p in pieces if p not in known}
+        cut = [text.split(" ") for text in texts]
+        heads = [pieces[0] for pieces in cut]
+        new: set[str] = set()
+        for pieces in cut:
+            del pieces[0]
+            new.update(filterfalse(self.known.__contains__, pieces))
+        if len(self.known) > REMEMBERED:
+            new.update(*cut)
         if new:
-            wanted = {p for pieces in cut if pieces for p in pieces} if len(known) > REMEMBERED else None
-            self._learn(sorted(wanted or new))
-        known = self.known
+            # a piece that is empty, or has white space at an end, stays unknown
+            self._learn(sorted(p for p in new if p and not p[0].isspace() and not p[-1].isspace()))
+        known = self.known.__getitem__
         out = []
-        for text, head, pieces in zip(texts, first, cut):
-            if pieces is None:
+        for text, head, pieces in zip(texts, heads, cut):
+            try:
+                odd = bool(pieces) and (not head or head[-1].isspace())
+                out.append(self._whole(text) if odd else self._whole(head) + b"".join(map(known, pieces)))
+            except KeyError:
                 out.append(self._whole(text))
-            else:
-                out.append(self._whole(head) + b"".join([known[p] for p in pieces]))
         return out
 
     def _whole(self, text: str) -> bytes:

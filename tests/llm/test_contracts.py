@@ -152,3 +152,19 @@ def test_registered(name):
     import __spark_entry__ as entry
 
     assert name in entry.queries() and "pipeline" in entry.queries()
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_piece_encoder(name, rows):
+    import numpy as np
+    import public_tokenizers
+
+    from parcelwing.llm.tokens import PieceEncoder
+
+    texts = [r["text"] or "" for r in rows("documents")] + [
+        "", " ", "  a", "a  b", "a \n b", "a\n b", " lead", "trail ", "don't we'll I'M", "<|endoftext|> x", "\x1c a\x85b",
+        "é ́x ﬁ ſ ΣΣ", "日本 \U0001f600 ½3 4,5.", "\x00 \x00a", "A.B, c.,d"]
+    encoder = PieceEncoder(public_tokenizers.path(name))
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert got == [brute.tokenizer(name).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts[::-1])] == got[::-1]
