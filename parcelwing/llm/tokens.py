@@ -9,10 +9,10 @@ Texts with doubled spaces, or white space beside a space, go to the library whol
 from __future__ import annotations
 
 import os
+import struct
 from functools import lru_cache
 from itertools import filterfalse
 
-import numpy as np
 import regex
 
 # Spark runs a task per core; threads of the library would only wait for one another
@@ -35,6 +35,10 @@ def _byte_alphabet() -> dict[int, str]:
 _ALPHABET = _byte_alphabet()
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class PieceEncoder:
     """ids (little-endian unsigned 32-bit, as bytes) of texts for one tokenizer file."""
 
@@ -80,13 +84,14 @@ class PieceEncoder:
 
     def _merge(self, new: set[str]) -> None:
         """Ids of pre-tokens that are not known yet, by the library's model."""
-        fresh = sorted(new)
+        fresh = list(new)
         for start in range(0, len(fresh), 2000):
             part = fresh[start:start + 2000]
-            shown = [[w.encode().decode("latin-1").translate(_ALPHABET)] for w in part]
+            shown = [[w.replace(" ", _ALPHABET[32])] if w.isascii() and w.isprintable() else [
+                w.encode().decode("latin-1").translate(_ALPHABET)] for w in part]
             found = self.model.encode_batch_fast(shown, is_pretokenized=True, add_special_tokens=False)
             for word, encoding in zip(part, found):
-                self.words[word] = np.array(encoding.ids, dtype="<u4").tobytes()
+                self.words[word] = _packed(encoding.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [text.split(" ") for text in texts]
@@ -99,7 +104,7 @@ class PieceEncoder:
             new.update(*cut)
         if new:
             # a piece that is empty, or has white space at an end, stays unknown
-            self._learn(sorted(p for p in new if p and not p[0].isspace() and not p[-1].isspace()))
+            self._learn([p for p in new if p and not p[0].isspace() and not p[-1].isspace()])
         known = self.known.__getitem__
         out = []
         for text, head, pieces in zip(texts, heads, cut):
@@ -112,7 +117,7 @@ class PieceEncoder:
 
     def _whole(self, text: str) -> bytes:
         ids = self.whole.encode(text, add_special_tokens=False).ids if text else []
-        return np.array(ids, dtype="<u4").tobytes()
+        return _packed(ids)
 
 
 @lru_cache(maxsize=4)
