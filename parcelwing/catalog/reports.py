@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from parcelwing.catalog.domain_sql import count_if, even, favg, fsum, rnd
 from parcelwing.catalog.registry import query
 from parcelwing.plans import reports as R
 
-START, END = dt.date(1996, 3, 1), dt.date(1999, 6, 30)
-_DAYS = f"CAST(order_created_at AS DATE) BETWEEN DATE '{START}' AND DATE '{END}'"
-_ROUTED = f"(SELECT * FROM fct_deliveries WHERE {_DAYS} AND route_distance_km IS NOT NULL)"
+_ROUTED = "(SELECT * FROM fct_deliveries WHERE route_distance_km IS NOT NULL)"
 
 
 def _mean(expr: str) -> str:
@@ -24,7 +20,7 @@ def _is(column: str, value: str) -> str:
 
 
 def _rows(c):
-    return R.deliveries(c.gold, START, END)
+    return R.deliveries(c.gold)
 
 
 def report(name: str, sql: str, build) -> None:
@@ -36,9 +32,9 @@ report("freshness", "SELECT max(_dbt_loaded_at) AS refreshed_at FROM silver_orde
 report("ops_overview",
        "SELECT report_date, total_orders, delivery_success_rate_pct, avg_customer_rating, active_aircraft, "
        "total_orders - prev AS total_orders_delta FROM (SELECT *, lag(total_orders) OVER (ORDER BY report_date) AS prev "
-       f"FROM kpi_delivery_performance WHERE CAST(report_date AS DATE) BETWEEN DATE '{START}' AND DATE '{END}') "
+       "FROM kpi_delivery_performance) "
        "ORDER BY report_date DESC LIMIT 1",
-       lambda c: R.ops_overview(c.gold, START, END))
+       lambda c: R.ops_overview(c.gold))
 _NA = "coalesce(CAST({} AS VARCHAR), 'N/A')".format
 report("daily_brief_text",
        "SELECT 'Date=' || strftime(report_date, '%Y-%m-%d') || ' Orders=' || total_orders || ' Delivered=' || delivered_orders "
@@ -95,7 +91,7 @@ report("customer_summary",
        f"SELECT count(*) AS total_customers, {_mean('avg_rating')} AS avg_rating, {_mean('nullif(avg_rating, 0e0)')} AS avg_rating_of_rated "
        "FROM dim_customers",
        lambda c: R.customer_summary(c.gold))
-report("rating_distribution", f"SELECT feedback_rating, count(*) AS count FROM fct_deliveries WHERE {_DAYS} AND feedback_rating IS NOT NULL GROUP BY ALL",
+report("rating_distribution", "SELECT feedback_rating, count(*) AS count FROM fct_deliveries WHERE feedback_rating IS NOT NULL GROUP BY ALL",
        lambda c: R.rating_distribution(_rows(c)))
 report("delivery_time_histogram",
        "SELECT bin * step AS bin_start, (bin + 1) * step AS bin_end, CAST(count(*) AS BIGINT) AS frequency FROM (SELECT step, "
@@ -103,9 +99,8 @@ report("delivery_time_histogram",
        "(SELECT min(delivery_time_min) AS lo, max(delivery_time_min) AS hi FROM fct_deliveries) WHERE floor(hi / s) - floor(lo / s) < 30) "
        "WHERE delivery_time_min IS NOT NULL) GROUP BY bin, step",
        lambda c: R.delivery_time_histogram(c.gold["fct_deliveries"]))
-report("rating_trend", "SELECT report_date, avg_customer_rating FROM kpi_delivery_performance "
-                       f"WHERE CAST(report_date AS DATE) BETWEEN DATE '{START}' AND DATE '{END}'",
-       lambda c: R.rating_trend(c.gold, START, END))
+report("rating_trend", "SELECT report_date, avg_customer_rating FROM kpi_delivery_performance",
+       lambda c: R.rating_trend(c.gold))
 report("top_customers", "SELECT customer_name, total_orders, delivered_orders, avg_rating, avg_sentiment, avg_delivery_time_min "
                         "FROM dim_customers ORDER BY total_orders DESC, customer_id LIMIT 10",
        lambda c: R.top_customers(c.gold))

@@ -11,12 +11,13 @@ from parcelwing.functions import columns as C
 from parcelwing.operators import shaping
 
 
-@query("assign_round_robin", "SELECT o_orderkey, s_suppkey, s_name FROM orders JOIN supplier "
-                             "ON s_suppkey = o_orderkey % (SELECT count(*) FROM supplier)")
+@query("assign_round_robin", "SELECT o_orderkey, s_suppkey, s_name FROM orders JOIN "
+                             "(SELECT *, row_number() OVER (ORDER BY s_suppkey) - 1 AS slot FROM supplier) "
+                             "ON slot = o_orderkey % (SELECT count(*) FROM supplier)")
 def _assign_round_robin(c):
-    members = c.table("supplier").withColumn("rank", F.col("s_suppkey"))
+    members = c.table("supplier")
     orders = c.table("orders").select("o_orderkey")
-    assigned = shaping.assign_round_robin(orders, "o_orderkey", members, "rank", ["s_suppkey", "s_name"])
+    assigned = shaping.assign_round_robin(orders, "o_orderkey", members, "s_suppkey", ["s_suppkey", "s_name"])
     return assigned.select("o_orderkey", "s_suppkey", "s_name")
 
 

@@ -37,23 +37,27 @@ def _sentiment_breakdown(c):
     return reports.sentiment_breakdown(c.gold["fct_deliveries"])
 
 
-_CAUSE = f"nullif(regexp_extract(description, {quoted(rules.ROOT_CAUSE)}, 1), '')"
+_CAUSES = f"unnest(regexp_extract_all(description, {quoted(rules.ROOT_CAUSE)}, 1))"
 
 
-@query("root_cause_extract", f"SELECT {_CAUSE} AS root_cause, count(*) AS logs FROM silver_maintenance_logs "
-                             f"WHERE {_CAUSE} IS NOT NULL GROUP BY ALL")
+@query("root_cause_extract", f"SELECT trim(cause) AS root_cause, count(*) AS logs FROM "
+                             f"(SELECT {_CAUSES} AS cause FROM silver_maintenance_logs) GROUP BY ALL")
 def _root_cause_extract(c):
-    caused = c.silver["silver_maintenance_logs"].select(T.root_cause("description").alias("root_cause"))
+    caused = c.silver["silver_maintenance_logs"].select(F.explode(T.root_causes("description")).alias("root_cause"))
     return summaries.group_size(caused, "root_cause", "logs")
 
 
+def _plain(text: str) -> str:
+    tokens = f"list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda t: t <> '')"
+    return f"' ' || array_to_string({tokens}, ' ') || ' '"
+
+
 _CATALOGUE = "(SELECT DISTINCT lower(trim(part_name)) AS part_name FROM raw_parts_inventory)"
-_PLAIN = "' ' || array_to_string(list_filter(string_split_regex(lower(description), '[^a-z]+'), lambda t: t <> ''), ' ') || ' '"
 
 
 @query("parts_mentioned", f"SELECT log_id, string_agg(part_name, ',' ORDER BY part_name) AS parts FROM "
-                          f"(SELECT log_id, {_PLAIN} AS plain FROM silver_maintenance_logs) JOIN {_CATALOGUE} "
-                          "ON contains(plain, ' ' || part_name || ' ') GROUP BY log_id")
+                          f"(SELECT log_id, {_plain('description')} AS plain FROM silver_maintenance_logs) JOIN {_CATALOGUE} "
+                          f"ON contains(plain, {_plain('part_name')}) GROUP BY log_id")
 def _parts_mentioned(c):
     found = enrichment.parts_mentioned(c.silver["silver_maintenance_logs"], c.silver["silver_parts_inventory"])
     return found.select("log_id", F.array_join("parts", ",").alias("parts"))
@@ -90,11 +94,15 @@ def _inventory_risk(c):
         dt.datetime.fromisoformat(_RISK_DAY))
 
 
-@query("maintenance_digest", """
+_SENTENCES = (f"list_filter(list_transform(string_split_regex(description, {quoted(rules.SENTENCE_END)}), lambda x: trim(x)), "
+              "lambda x: x <> '')")
+
+
+@query("maintenance_digest", f"""
   SELECT aircraft_id, string_agg(sentence, ' | ' ORDER BY n) AS digest FROM (
-    SELECT aircraft_id, trim(split_part(description, '.', 1)) AS sentence,
-      row_number() OVER (PARTITION BY aircraft_id ORDER BY started_at DESC, log_id) AS n
-    FROM silver_maintenance_logs WHERE description IS NOT NULL) WHERE n <= 3 GROUP BY aircraft_id""")
+    SELECT *, row_number() OVER (PARTITION BY aircraft_id ORDER BY started_at DESC, log_id, i) AS n FROM (
+      SELECT aircraft_id, started_at, log_id, unnest(s) AS sentence, generate_subscripts(s, 1) AS i
+      FROM (SELECT *, {_SENTENCES} AS s FROM silver_maintenance_logs))) WHERE n <= 3 GROUP BY aircraft_id""")
 def _maintenance_digest(c):
     return enrichment.maintenance_digest(c.silver["silver_maintenance_logs"])
 
@@ -117,11 +125,11 @@ _KM = rnd(haversine("dropoff_lat", "dropoff_lon", "center_lat", "center_lon"), 6
 
 
 @query("zone_assignment", f"""
-  SELECT order_id, zone_id, km AS distance_km FROM (
+  SELECT order_id, zone_id, km AS distance_km FROM silver_orders LEFT JOIN (
     SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY km, zone_id) AS n FROM (
       SELECT order_id, zone_id, radius_km, {_KM} AS km FROM silver_orders JOIN silver_delivery_zones
         ON is_active AND abs(dropoff_lat - center_lat) < 0.1 AND abs(dropoff_lon - center_lon) < 0.2)
-    WHERE km <= radius_km) WHERE n = 1""")
+    WHERE km <= radius_km QUALIFY n = 1) USING (order_id)""")
 def _zone_assignment(c):
     zones = c.silver["silver_delivery_zones"].filter("is_active")
     return enrichment.zone_assignment(c.silver["silver_orders"], zones)

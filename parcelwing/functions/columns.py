@@ -27,13 +27,15 @@ def round_half_up(value, digits: int = 0) -> Column:
     """Half away from zero on the double itself, the same in every engine.
 
     The built-in `round` goes through the decimal spelling of a double (1.005
-    gives 1.01), which other engines do not.
+    gives 1.01), which other engines do not. NaN stays NaN, and a value whose
+    scaled form has no fraction left (2**52 and beyond, infinity) stays itself.
     """
-    value = _col(value)
+    value = _col(value).cast("double")
     scale = 10.0**digits
     up = F.floor(value * scale + 0.5)
     down = -F.floor(-value * scale + 0.5)
-    return F.when(value < 0, down).otherwise(up) / F.lit(scale)
+    whole = F.isnan(value) | (F.abs(value * scale) >= 2.0**52)
+    return F.when(whole, value).when(value < 0, down / F.lit(scale)).otherwise(up / F.lit(scale))
 
 
 def round_half_even(value, digits: int = 0) -> Column:

@@ -63,10 +63,19 @@ def sentiment_label(score) -> Column:
     )
 
 
-def root_cause(text) -> Column:
-    """The stated root cause, null when the text names none."""
-    found = F.regexp_extract(text, rules.ROOT_CAUSE, 1)
-    return F.when(found != "", found)
+def root_causes(text) -> Column:
+    """All stated root causes in order, each to the end of its sentence or of the text; null for a null text."""
+    return F.transform(F.regexp_extract_all(text, F.lit(rules.ROOT_CAUSE), F.lit(1)), F.trim)
+
+
+def sentences(text) -> Column:
+    """Sentences of a text without their periods; a period inside a number ends none."""
+    return F.filter(F.transform(F.split(text, rules.SENTENCE_END, -1), F.trim), lambda s: s != "")
+
+
+def name_tokens(text) -> Column:
+    """Runs of letters and digits in the lower-cased text, as names of parts have them."""
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+", -1), lambda t: t != "")
 
 
 def with_text_category(df: DataFrame, text: str, categories: dict[str, tuple] = rules.TEXT_CATEGORIES,

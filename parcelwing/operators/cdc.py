@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwing.functions import columns as C
-from parcelwing.operators.windows import latest_per_key
+from parcelwing.operators.windows import comparable, latest_per_key
 
 INSERT, DELETE = "INSERT", "DELETE"
 ACTION, IS_UPDATE, ROW_ID = "_cdc_action", "_cdc_is_update", "_cdc_row_id"
@@ -36,10 +36,13 @@ def _pair(name: str, present: Column, image: Column, update: Column, action: str
 
 
 def _emit(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
-    """Turn `_old` and `_new` images (null where absent) into change rows."""
+    """Turn `_old` and `_new` images (null where absent) into change rows.
+
+    `_was` and `_is` are the same images in a form that can be compared.
+    """
     old, new = F.col("_old"), F.col("_new")
     update = old.isNotNull() & new.isNotNull()
-    changed = df.filter(~old.eqNullSafe(new))
+    changed = df.filter(~F.col("_was").eqNullSafe(F.col("_is")))
     entries = F.array_compact(F.array(
         _pair("removed", old.isNotNull(), old, update, DELETE), _pair("added", new.isNotNull(), new, update, INSERT)))
     rows = changed.select(F.explode(entries).alias("_e")).select("_e.*")
@@ -49,8 +52,9 @@ def _emit(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
 def changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Net changes that turn one version of a table into another; keys are unique."""
     columns = old.columns
-    before = old.select(*keys, F.struct(*columns).alias("_old"))
-    after = new.select(*keys, F.struct(*[new[c] for c in columns]).alias("_new"))
+    before = old.select(*keys, F.struct(*columns).alias("_old"), F.struct(*comparable(old, columns)).alias("_was"))
+    after = new.select(*keys, F.struct(*[new[c] for c in columns]).alias("_new"),
+                       F.struct(*comparable(new, columns)).alias("_is"))
     return _emit(before.join(after, keys, "full_outer"), columns, keys)
 
 
@@ -61,14 +65,15 @@ def net(log: DataFrame, keys: list[str], version: str) -> DataFrame:
     a maximum, so a key with very many changes is combined before the shuffle.
     """
     columns = [c for c in log.columns if c not in (*METADATA, version)]
-    step = F.struct(F.col(version), F.when(F.col(ACTION) == INSERT, 1).otherwise(0).alias("_order"),
-                    F.struct(*columns).alias("_image"))
-    ends = log.groupBy(*keys).agg(F.min(step).alias("_first"), F.max(step).alias("_last"))
+    order = F.when(F.col(ACTION) == INSERT, 1).otherwise(0).alias("_order")
+    form = F.struct(*comparable(log, columns)).alias("_form")
+    step = F.struct(F.col(version), order, form)
+    entry = F.struct(order, form, F.struct(*columns).alias("_image"))
+    ends = log.groupBy(*keys).agg(F.min_by(entry, step).alias("_first"), F.max_by(entry, step).alias("_last"))
+    gone, there = F.col("_first._order") == 0, F.col("_last._order") == 1
     images = ends.select(
-        *keys,
-        F.when(F.col("_first._order") == 0, F.col("_first._image")).alias("_old"),
-        F.when(F.col("_last._order") == 1, F.col("_last._image")).alias("_new"),
-    )
+        *keys, F.when(gone, F.col("_first._image")).alias("_old"), F.when(there, F.col("_last._image")).alias("_new"),
+        F.when(gone, F.col("_first._form")).alias("_was"), F.when(there, F.col("_last._form")).alias("_is"))
     return _emit(images, columns, keys)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelwing import rules
 from parcelwing.functions import columns as C
-from parcelwing.functions.text import tokens
+from parcelwing.functions.text import name_tokens, sentences
 
 GRID_DEGREES = 0.05
 
@@ -23,8 +23,13 @@ def _reach(center: Column, half: Column) -> Column:
     return F.sequence(_cell(center - half), _cell(center + half))
 
 
+def _around(column: Column) -> Column:
+    """Grid column with the 180th meridian joined up."""
+    return F.pmod(column, F.lit(round(360 / GRID_DEGREES)))
+
+
 def zone_assignment(orders: DataFrame, zones: DataFrame) -> DataFrame:
-    """Nearest delivery zone whose circle holds the drop-off point.
+    """Each order with the nearest delivery zone whose circle holds its drop-off point, null if none does.
 
     Both sides meet on grid cells: a zone is listed under every cell its
     bounding box touches, an order under its own cell, so the join is an equi
@@ -34,22 +39,25 @@ def zone_assignment(orders: DataFrame, zones: DataFrame) -> DataFrame:
     """
     salts = 8
     lat_half = F.col("radius_km") / (rules.EARTH_RADIUS_KM * F.radians(F.lit(1.0))) * 1.001
-    lon_half = lat_half / F.greatest(F.cos(F.radians(F.abs("center_lat") + lat_half)), F.lit(0.01))
+    edge = F.abs("center_lat") + lat_half
+    lon_half = F.when(edge >= 89.9, F.lit(180.0)).otherwise(lat_half / F.cos(F.radians(edge)))
+    columns = F.array_distinct(F.transform(_reach(F.col("center_lon"), lon_half), _around))
     placed = (
         zones.select("zone_id", "center_lat", "center_lon", "radius_km")
         .withColumn("_y", F.explode(_reach(F.col("center_lat"), lat_half)))
-        .withColumn("_x", F.explode(_reach(F.col("center_lon"), lon_half)))
+        .withColumn("_x", F.explode(columns))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
     points = orders.select(
         "order_id", "dropoff_lat", "dropoff_lon",
-        _cell(F.col("dropoff_lat")).alias("_y"), _cell(F.col("dropoff_lon")).alias("_x"),
+        _cell(F.col("dropoff_lat")).alias("_y"), _around(_cell(F.col("dropoff_lon"))).alias("_x"),
         F.pmod(F.xxhash64("order_id"), F.lit(salts)).cast("int").alias("_salt"),
     )
     km = C.round_half_up(C.haversine_km("dropoff_lat", "dropoff_lon", "center_lat", "center_lon"), 6)
     inside = points.join(placed, ["_y", "_x", "_salt"]).withColumn("distance_km", km).filter("distance_km <= radius_km")
     nearest = inside.groupBy("order_id").agg(F.min(F.struct("distance_km", "zone_id")).alias("_best"))
-    return nearest.select("order_id", "_best.zone_id", "_best.distance_km")
+    return orders.select("order_id").join(nearest, "order_id", "left").select(
+        "order_id", "_best.zone_id", "_best.distance_km")
 
 
 def weather_at_flight(flights: DataFrame, weather: DataFrame) -> DataFrame:
@@ -83,19 +91,22 @@ def _word_runs(words: Column, length: int) -> Column:
     return runs
 
 
-def parts_mentioned(logs: DataFrame, parts: DataFrame, longest: int = 2) -> DataFrame:
+def parts_mentioned(logs: DataFrame, parts: DataFrame) -> DataFrame:
     """Catalogue parts named in each log's text, in alphabetical order.
 
-    The text's word sequences meet the catalogue in an equi join; comparing
-    every text with every part name would be a cross join. `longest` is the
-    number of words in the longest part name.
+    Names and texts are cut by the same rule into runs of letters and digits, and
+    the text's runs of tokens meet the catalogue in an equi join; comparing every
+    text with every part name would be a cross join. The lengths tried are those
+    that occur in the catalogue.
     """
-    words = F.filter(tokens("description"), lambda token: token != "")
-    runs = [_word_runs(F.col("_words"), length) for length in range(1, longest + 1)]
+    catalogue = parts.select(F.lower(F.trim("part_name")).alias("part_name")).distinct().withColumn(
+        "_tokens", name_tokens("part_name")).filter(F.size("_tokens") > 0)
+    lengths = sorted(r[0] for r in catalogue.select(F.size("_tokens")).distinct().collect())
+    named = catalogue.select("part_name", F.array_join("_tokens", " ").alias("_phrase"))
+    runs = [_word_runs(F.col("_words"), length) for length in lengths] or [F.array().cast("array<string>")]
     phrases = F.array_distinct(F.array_compact(F.concat(*runs)))
-    named = logs.withColumn("_words", words).select("log_id", F.explode(phrases).alias("part_name"))
-    catalogue = parts.select(F.lower(F.trim("part_name")).alias("part_name")).distinct()
-    return named.join(catalogue, "part_name").groupBy("log_id").agg(
+    texts = logs.withColumn("_words", name_tokens("description")).select("log_id", F.explode(phrases).alias("_phrase"))
+    return texts.join(named, "_phrase").groupBy("log_id").agg(
         F.sort_array(F.collect_set("part_name")).alias("parts"))
 
 
@@ -119,18 +130,16 @@ def inventory_risk(parts: DataFrame, used: DataFrame, logs: DataFrame, as_of: dt
     return timed.select("part_id", "quantity_on_hand", "used_90d", "days_of_stock", risk.alias("risk_level"))
 
 
-def maintenance_digest(logs: DataFrame, sentences: int = 3) -> DataFrame:
-    """First sentences of each aircraft's latest logs, newest first.
+def maintenance_digest(logs: DataFrame, count: int = 3) -> DataFrame:
+    """The latest `count` sentences of each aircraft's logs: newest log first, in the order of its text.
 
     The rank filter is applied before the shuffle as well (Spark's window group
-    limit), so an aircraft sends at most `sentences` rows per task and the
+    limit), so an aircraft sends at most `count` rows per task and the
     collected list is bounded.
     """
-    newest = Window.partitionBy("aircraft_id").orderBy(F.desc("started_at"), "log_id")
-    opening = F.trim(F.substring_index("description", ".", 1))
-    ranked = logs.filter(F.col("description").isNotNull()).select(
-        "aircraft_id", "started_at", "log_id", opening.alias("_sentence"))
-    kept = ranked.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= sentences)
+    newest = Window.partitionBy("aircraft_id").orderBy(F.desc("started_at"), "log_id", "_at")
+    cut = logs.select("aircraft_id", "started_at", "log_id", F.posexplode(sentences("description")).alias("_at", "_sentence"))
+    kept = cut.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= count)
     collected = kept.groupBy("aircraft_id").agg(F.sort_array(F.collect_list(F.struct("_n", "_sentence"))).alias("_s"))
     texts = F.transform("_s", lambda item: item["_sentence"])
     return collected.select("aircraft_id", F.array_join(texts, " | ").alias("digest"))

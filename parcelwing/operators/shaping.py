@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelwing import rules
 from parcelwing.functions import columns as C
+from parcelwing.operators.windows import number_globally
 
 
 def mission_status(order_status: Column, coin: Column) -> Column:
@@ -70,11 +71,12 @@ def hour_grid(entities: DataFrame, start: str, end: str) -> DataFrame:
 def assign_round_robin(df: DataFrame, key: str, members: DataFrame, member_key: str, member_cols: list[str]) -> DataFrame:
     """Give every row a member by key modulo the number of members.
 
-    `member_key` must be a dense zero-based rank. The computed key is
-    materialised so that the join is an ordinary equi join.
+    Members are ranked here by `member_key`, a unique integer, so gaps in it
+    leave no row without a member. The computed key is materialised so that the
+    join is an ordinary equi join.
     """
     total = members.agg(F.count(F.lit(1)).alias("n")).scalar()
-    slots = members.select(F.col(member_key).alias("_slot"), *member_cols)
+    slots = number_globally(members, member_key, 1_000_000, "_slot").select("_slot", *member_cols)
     return df.withColumn("_slot", F.pmod(F.col(key), total)).join(slots, "_slot").drop("_slot")
 
 

@@ -41,8 +41,14 @@ def status_counts(df: DataFrame, key: str, status: str, names: dict[str, str]) -
 
 
 def _bin_step(low: Column, high: Column, most: int) -> Column:
-    """Smallest step of the form {1, 2, 5} x 10^n that needs at most `most` bins."""
-    steps = F.array(*[F.lit(float(f"{m}e{n}")) for n in range(-6, 13) for m in (1, 2, 5)])
+    """Smallest step of the form {1, 2, 5} x 10^n that needs at most `most` bins; 1e-6 where all values are equal.
+
+    The step exceeds a `most`-th of the extent, which gives n to within two.
+    """
+    power = F.coalesce(F.floor(F.log10(F.nullif(high - low, F.lit(0.0)) / most)), F.lit(-6)).cast("int")
+    powers = F.when(high == low, F.sequence(power, power)).otherwise(F.sequence(power, power + 2))
+    spelled = F.flatten(F.transform(powers, lambda n: F.array(*[F.concat(F.lit(f"{m}e"), n.cast("string")) for m in (1, 2, 5)])))
+    steps = F.transform(spelled, lambda text: text.cast("double"))
     fits = F.filter(steps, lambda s: F.floor(high / s) - F.floor(low / s) < most)
     return F.array_min(fits)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from parcelwing.functions import columns as C
 
@@ -95,6 +96,11 @@ def number_globally(df: DataFrame, key: str, width: int, name: str = "rank") ->
     return ranked.select(*df.columns, (F.col("_n") + F.col("_before") - 1).alias(name))
 
 
+def comparable(df: DataFrame, columns: list[str]) -> list[Column]:
+    """The columns in a form that has an order: variants as their JSON text."""
+    return [F.to_json(df[c]).alias(c) if isinstance(df.schema[c].dataType, VariantType) else df[c] for c in columns]
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one that comes last by `order`, then by all other columns.
 
@@ -102,5 +108,9 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     one row per task before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    newest = F.max(F.struct(*order, *rest)).alias("_newest")
+    if any(isinstance(df.schema[c].dataType, VariantType) for c in rest):
+        values = F.struct(*order, *rest)
+        newest = F.max_by(values, F.struct(*order, *comparable(df, rest))).alias("_newest")
+    else:
+        newest = F.max(F.struct(*order, *rest)).alias("_newest")
     return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*df.columns)

@@ -67,7 +67,9 @@ AIRCRAFT_STATUSES = ("ACTIVE", "IN_MAINTENANCE", "GROUNDED")
 
 # --- fixed values: text patterns -------------------------------------------
 PHONE_STRIP = "[^0-9+]"
-ROOT_CAUSE = r"Root cause: ([^.]+)\."
+# a sentence ends at a period before a blank or the end; a period inside a number or name is part of it
+ROOT_CAUSE = r"Root cause: ((?:[^.\n]|\.[^\s.])+)"
+SENTENCE_END = r"\.(?:\s+|$)"
 
 # --- fixed values: geometry ------------------------------------------------
 EARTH_RADIUS_KM = 6371.0

@@ -37,14 +37,21 @@ def test_sentiment_edges(spark):
 
 def test_root_cause_and_category(spark):
     df = spark.createDataFrame([("Fixed. Root cause: loose cable. Done.",), ("motor and firmware",), ("lunch",), (None,)], "t string")
-    got = [tuple(r) for r in T.with_text_category(df, "t").select(T.root_cause("t"), "text_category").collect()]
-    assert got == [("loose cable", "ELECTRICAL"), (None, "MECHANICAL"), (None, "OTHER"), (None, "OTHER")]
+    got = [tuple(r) for r in T.with_text_category(df, "t").select(T.root_causes("t"), "text_category").collect()]
+    assert got == [(["loose cable"], "ELECTRICAL"), ([], "MECHANICAL"), ([], "OTHER"), (None, "OTHER")]
+    more = spark.createDataFrame([("Root cause: worn v3.2 chip. Root cause: dust.",), ("Root cause: dust",)], "t string")
+    assert [r[0] for r in more.select(T.root_causes("t")).collect()] == [["worn v3.2 chip", "dust"], ["dust"]]
 
 
 def test_parts_named_in_texts(spark):
     logs = spark.createDataFrame([("1", "New Red  Widget, and a rod."), ("2", "widget red"), ("3", None), ("4", "")], "log_id string, description string")
     parts = spark.createDataFrame([(" Red Widget ",), ("rod",), ("Red Widget",)], "part_name string")
     assert [(r.log_id, r.parts) for r in enrichment.parts_mentioned(logs, parts).collect()] == [("1", ["red widget", "rod"])]
+    logs = spark.createDataFrame([("1", "Carbon fiber propeller, Motor 2212 and USB-C charge port swapped")], "log_id string, description string")
+    parts = spark.createDataFrame([("carbon fiber propeller",), ("Motor 2212",), ("USB-C Charge Port",), ("motor",)], "part_name string")
+    found = enrichment.parts_mentioned(logs, parts).collect()
+    assert found[0].parts == ["carbon fiber propeller", "motor", "motor 2212", "usb-c charge port"]
+    assert enrichment.parts_mentioned(logs, parts.limit(0)).count() == 0
 
 
 def km(a, b, c, d):
@@ -56,7 +63,9 @@ def km(a, b, c, d):
 def test_nearest_zone_matches_all_pairs(context):
     orders = context.silver["silver_orders"].select("order_id", "dropoff_lat", "dropoff_lon")
     zones = context.silver["silver_delivery_zones"]
-    got = {r.order_id: r.zone_id for r in enrichment.zone_assignment(orders, zones).collect()}
+    every = {r.order_id: r.zone_id for r in enrichment.zone_assignment(orders, zones).collect()}
+    assert len(every) == orders.count()
+    got = {order: zone for order, zone in every.items() if zone is not None}
     circles = [(z.zone_id, z.center_lat, z.center_lon, z.radius_km) for z in zones.collect()]
     wanted = {}
     for o in orders.collect():
@@ -73,12 +82,18 @@ def test_zones_at_high_latitudes(spark):
     assert got == {"a": "z", "b": "y"}
 
 
+def test_zones_across_the_180th_meridian(spark):
+    orders = spark.createDataFrame([("a", 0.0, -179.99), ("b", 0.0, 179.0)], "order_id string, dropoff_lat double, dropoff_lon double")
+    zones = spark.createDataFrame([("z", 0.0, 179.99, 5.0)], "zone_id string, center_lat double, center_lon double, radius_km double")
+    assert {r.order_id: r.zone_id for r in enrichment.zone_assignment(orders, zones).collect()} == {"a": "z", "b": None}
+
+
 def test_digest_takes_the_newest_sentences(spark):
     t = dt.datetime(2024, 1, 1)
-    rows = [("a", f"l{i}", t + dt.timedelta(days=i), f"Step {i}. More") for i in range(5)] + [("a", "l9", t + dt.timedelta(days=4), "Tie. x"), ("b", "m", t, None)]
+    rows = [("a", f"l{i}", t + dt.timedelta(days=i), f"Step {i}.1 done") for i in range(5)] + [("a", "l9", t + dt.timedelta(days=4), "Tie. x."), ("b", "m", t, None)]
     df = spark.createDataFrame(rows, "aircraft_id string, log_id string, started_at timestamp_ntz, description string")
     digest = enrichment.maintenance_digest(df)
-    assert [tuple(r) for r in digest.collect()] == [("a", "Step 4 | Tie | Step 3")]
+    assert [tuple(r) for r in digest.collect()] == [("a", "Step 4.1 done | Tie | x")]
     assert "WindowGroupLimit" in digest._jdf.queryExecution().executedPlan().toString()
 
 
