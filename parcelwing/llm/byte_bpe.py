@@ -1,17 +1,21 @@
 """Byte-level BPE of whole tables: each distinct pre-token is encoded once, wherever it stands.
 
-Pre-tokens are exploded with their positions. A block of neighbouring texts
-makes one row per distinct pre-token with all its positions in the block, so a
-pre-token that fills a third of all text sends one row per block. The distinct
-pre-tokens of all blocks are encoded once, their ids joined back on the
-pre-token, and every block put together again by position. Decoding looks each
-id up in the token-byte table, whose size is that of the vocabulary.
+Pre-tokens are exploded with their positions, a block of neighbouring texts at a
+time. Each block sends its distinct pre-tokens to the parts that their checksums
+name, so all blocks' equal pre-tokens meet there and are encoded once; a
+pre-token that fills a third of all text is sent once per block. The ids go back
+to the block, in the order of its pre-tokens, and every text is put together by
+position. Words, ids and positions travel as compressed columns, some tenths of
+the text. Decoding looks each id up in the token-byte table, whose size is that
+of the vocabulary.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import pickle
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -19,14 +23,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelwing.llm.common import bounded
 
-BLOCK_BYTES = 6 << 20   # text of a block
-_PLACED = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("at", pa.binary()), ("head", pa.bool_())])
+BLOCK_BYTES = 12 << 20   # text of a block
+_PLACED = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("data", pa.binary())])
 
 
 @lru_cache(maxsize=2)
@@ -50,12 +55,24 @@ def token_bytes(path: str) -> list[bytes]:
     return out
 
 
-def _explode(pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, word, positions) for the distinct pre-tokens of each block.
+def _planes(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers byte plane by byte plane, compressed."""
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
 
-    One more row per block tells its texts: doc_ids with a flag for null, and
-    how many pre-tokens each has. The block number and a byte that UTF-8 never
-    holds stand for its word, so these rows spread like words.
+
+def _numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def _explode(pattern: str, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, part, data) of each block of texts.
+
+    A part below `parts` holds the block's distinct pre-tokens that fall to it by
+    their checksum, in order, so that all blocks' equal pre-tokens meet. Parts
+    from `parts` on hold the block's texts: doc_ids, a flag for null, how many
+    pre-tokens each has, and the number of the pre-token at every position, by
+    (part, place in the part).
     """
     split = regex.compile(pattern).findall
     first = TaskContext.get().partitionId() << 32
@@ -66,68 +83,90 @@ def _explode(pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             words = split(text) if text else []
             lengths.append(len(words))
             places.append(np.fromiter((codes.setdefault(w, len(codes)) for w in words), np.int32, len(words)))
-        code = np.concatenate(places) if places else np.zeros(0, np.int32)
-        order = np.argsort(code, kind="stable").astype("<u4")
-        cuts = np.concatenate(([0], np.cumsum(np.bincount(code, minlength=len(codes))))) * 4
-        packed = order.tobytes()
-        ids = batch.column("doc_id")
-        named = np.array([i if i is not None else 0 for i in ids.to_pylist()], "<i8").tobytes()
-        nulls = np.array(ids.is_null().to_pylist(), np.uint8).tobytes()
-        head = np.array([batch.num_rows], "<i8").tobytes() + named + nulls + np.array(lengths, "<u4").tobytes()
         block = first + number
-        words = [block.to_bytes(8, "little") + b"\xff", *(w.encode() for w in codes)]
-        at = [head, *(packed[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()))]
-        yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int64()), pa.array(words, pa.binary()),
-                                          pa.array(at, pa.binary()), pa.array([k == 0 for k in range(len(words))])],
-                                         schema=_PLACED)
-
-
-def _encode(path: str, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """ids of distinct pre-tokens."""
+        listed = [w.encode() for w in codes]
+        part = np.array([zlib.crc32(w) % parts for w in listed], np.int64)
+        order = sorted(range(len(listed)), key=lambda k: (part[k], listed[k]))
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        rows = []
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            own = [listed[at] for at in order[cuts[k]:cuts[k + 1]]]
+            sizes = np.array(list(map(len, own)), "<u4")
+            rows.append((block, k, zstandard.compress(pickle.dumps((_planes(sizes), b"".join(own))), 3)))
+        every = np.concatenate(places) if places else np.zeros(0, np.int32)
+        often = np.lexsort((rank, -np.bincount(every, minlength=len(order))))     # frequent ones get small numbers
+        small = np.empty(len(order), np.uint32)
+        small[often] = np.arange(len(order), dtype=np.uint32)
+        head = (batch.column("doc_id").to_pylist(), lengths, _planes(np.diff(rank[often], prepend=np.uint32(0))), _planes(small[every]))
+        rows.append((block, parts + block % parts, pickle.dumps(head)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows), _PLACED)], schema=_PLACED)
+
+
+def _encode(path: str, pattern: str, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of each row's pre-tokens instead of their bytes; rows are sorted by part, and texts pass as they are.
+
+    A pre-token has its ids looked up in the part's table, where it is put when
+    it is first seen.
+    """
     bpe = encoding(path, pattern)
+    table: dict[bytes, tuple[int, ...]] = {}
+    current = None
     for batch in batches:
-        words = batch.column("word").to_pylist()
-        ids = [np.array(bpe.encode_ordinary(w.decode()), "<u4").tobytes() for w in words]
-        yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.binary())], names=["word", "ids"])
+        out = []
+        for part, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
+            if part >= parts:
+                out.append(data)
+                continue
+            if part != current:
+                current, table = part, {}
+            sizes, joined = pickle.loads(zstandard.decompress(data))
+            ends = np.cumsum(_numbers(sizes)).tolist()
+            ids = []
+            start = 0
+            for end in ends:
+                word = joined[start:end]
+                known = table.get(word)
+                if known is None:
+                    known = table[word] = tuple(bpe.encode_ordinary(word.decode()))
+                ids.append(known)
+                start = end
+            counts = np.array(list(map(len, ids)), "<u4")
+            out.append(pickle.dumps((_planes(counts), _planes(np.array([i for w in ids for i in w], "<u4")))))
+        yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("part"), pa.array(out, pa.binary())],
+                                         schema=_PLACED)
 
 
-def _assemble(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks from rows sorted by block: ids by position, cut into texts, digested and decoded."""
+def _assemble(path: str, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks from rows sorted by (block, part): ids by position, cut into texts, digested and decoded."""
     table = token_bytes(path)
-    held: list[tuple[bool, bytes, bytes | None]] = []
-    current = None
+    pieces: list[bytes] = []
     for batch in batches:
-        for block, is_head, at, ids in zip(*(batch.column(c).to_pylist() for c in ("block", "head", "at", "ids"))):
-            if block != current:
-                if held:
-                    yield _texts(held, table)
-                current, held = block, []
-            held.append((is_head, at, ids))
-    if held:
-        yield _texts(held, table)
-
-
-def _texts(rows: list[tuple[bool, bytes, bytes | None]], table: list[bytes]) -> pa.RecordBatch:
-    head = next(at for is_head, at, _ in rows if is_head)
-    n = int(np.frombuffer(head, "<i8", 1)[0])
-    doc_ids, nulls = np.frombuffer(head, "<i8", n, 8), np.frombuffer(head, np.uint8, n, 8 + 8 * n)
-    lengths = np.frombuffer(head, "<u4", n, 8 + 9 * n)
-    rows = [r for r in rows if not r[0]]
-    places = [np.frombuffer(at, "<u4") for _, at, _ in rows]
-    where = np.concatenate(places) if places else np.zeros(0, np.uint32)
-    of = np.zeros(len(where), np.int32)
-    of[where] = np.repeat(np.arange(len(rows), dtype=np.int32), [len(p) for p in places])
-    pieces = [ids for _, _, ids in rows]
+        for part, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
+            if part < parts:
+                counts, ids = map(_numbers, pickle.loads(data))
+                packed, cuts = ids.tobytes(), (np.concatenate(([0], np.cumsum(counts, dtype=np.int64))) * 4).tolist()
+                pieces += [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+            else:
+                yield _texts(pieces, *pickle.loads(data), table)
+                pieces = []
+
+
+def _texts(pieces: list[bytes], doc_ids: list, lengths: list[int], rank: bytes, codes: bytes,
+           table: list[bytes]) -> pa.RecordBatch:
+    order = [pieces[k] for k in np.cumsum(_numbers(rank), dtype=np.uint32).tolist()]
+    of = _numbers(codes)
     out, start = [], 0
-    for length in lengths.tolist():
-        packed = b"".join([pieces[k] for k in of[start:start + length].tolist()])
+    for length in lengths:
+        packed = b"".join([order[k] for k in of[start:start + length].tolist()])
         ids = np.frombuffer(packed, "<u4")
         decoded = b"".join([table[i] for i in ids.tolist()])
         out.append((len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()))
         start += length
     counts, coded, text = list(zip(*out)) or ([], [], [])
     return pa.RecordBatch.from_arrays([
-        pa.array(doc_ids, pa.int64(), mask=nulls.astype(bool)), pa.array(counts, pa.int64()), pa.array(coded, pa.string()),
+        pa.array(doc_ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(coded, pa.string()),
         pa.array(text, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
@@ -135,14 +174,16 @@ def encode_and_decode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row of docs(doc_id, text).
 
     A null text is empty: no tokens, digests of nothing. Rows repeat as they
-    came, also without a doc_id; other columns are not looked at. Only a block of
-    texts, a few megabytes or one long text, is ever held by a task.
+    came, also without a doc_id; other columns are not looked at. A task holds a
+    block of texts, some megabytes or one long text, or the distinct pre-tokens
+    of one part, whose number is that of the shuffle partitions or 64.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    placed = base.mapInArrow(partial(_explode, pattern), "block long, word binary, at binary, head boolean").repartition("word")
-    distinct = placed.filter("not head").select("word").distinct()
-    coded = distinct.mapInArrow(partial(_encode, ranks, pattern), "word binary, ids binary")
-    joined = placed.join(coded, "word", "left").select("block", "head", "at", "ids")
-    dealt = joined.repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(partial(_assemble, ranks),
+    parts = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    kind = "block long, part long, data binary"
+    placed = base.mapInArrow(partial(_explode, pattern, parts), kind)
+    coded = placed.repartition("part").sortWithinPartitions("part").mapInArrow(
+        partial(_encode, ranks, pattern, parts), kind)
+    dealt = coded.repartition("block").sortWithinPartitions("block", "part")
+    return dealt.mapInArrow(partial(_assemble, ranks, parts),
                             "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
