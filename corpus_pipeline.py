@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelwing.llm.common import plain, stored, table
 from parcelwing.llm.jaccard_join import one_per_group
@@ -18,8 +19,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    return line_rules(docs).filter("kept").select([plain(c) for c in docs.columns])
+    """Documents that the rules reject go.
+
+    The verdicts are stored before they are used: a filter on them would be
+    moved below the join and compute the figures of each text many times over.
+    """
+    columns = [plain(c) for c in docs.columns]
+    judged = stored(line_rules(docs).select(*columns, F.col("kept").alias("_kept")), "judged")
+    return judged.filter("_kept").select(columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
