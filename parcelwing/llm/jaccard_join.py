@@ -10,7 +10,8 @@ that their bitmaps and sizes allow reaches what a link needs.
 
 Large groups. Texts with the same set are one vertex. The order of the tokens
 puts the most frequent ones last (a list of fixed length), so a common line or
-phrase is not a meeting place. A first round links each set to one leader per
+phrase is not a meeting place. Tokens that hold the same sets, as those of a
+shared passage do, are one meeting place. A first round links each set to one leader per
 token; what that has joined is one component, and the traversal passes over node
 pairs inside one component, so thousands of near copies cost about one
 comparison each. A token's sets are cut into blocks by size; blocks meet only
@@ -25,7 +26,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from parcelwing.llm.common import bounded, encoded, plain, stored
@@ -287,6 +288,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, per
     return dealt.mapInArrow(partial(_compare, size, percent), "a long, b long").distinct()
 
 
+def _same_sets(token: WindowSpec) -> Column:
+    """Key of the sets that stand under a token: their number and two checksums of their ids."""
+    return F.struct(F.count(F.lit(1)).over(token).alias("many"), F.bit_xor(F.xxhash64("set_id")).over(token).alias("lo"),
+                    F.bit_xor(F.xxhash64(F.lit(7), "set_id")).over(token).alias("hi"))
+
+
+def _one_token_per_sets(met_at: DataFrame) -> DataFrame:
+    """The meetings of one token out of those that hold the same sets: the others would only repeat its tree."""
+    one = met_at.groupBy("sets.many", "sets.lo", "sets.hi").agg(F.min("token").alias("token")).select("token")
+    return met_at.drop("sets").join(one, "token", "left_semi")
+
+
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, set_id, n_shingles, component_id.
 
@@ -313,7 +326,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     rows = sets.select("doc_id", "set_id", "n", F.explode("prefix").alias("token")).withColumns({
         "before": F.lag("n").over(by_size), "after": F.lead("n").over(by_size)})
     near = (F.col("before") * 100 >= percent * F.col("n")) | (F.col("n") * 100 >= percent * F.col("after"))
-    live = stored(rows.filter(near).select("token", "doc_id", "set_id", "n"), "meetings")
+    met_at = stored(rows.filter(near).select(
+        "token", "doc_id", "set_id", "n", _same_sets(Window.partitionBy("token")).alias("sets")), "meetings")
+    live = stored(_one_token_per_sets(met_at), "places")
 
     leader = F.min(F.struct("doc_id", "set_id")).over(token)["set_id"]
     star = live.withColumn("lead", leader).filter("lead <> set_id").select(
