@@ -37,8 +37,9 @@ FREQUENT_TOKENS = 65_536   # length of the list of tokens that the order puts la
 BLOCK = 512                # sets of one token in a block
 STAR = 256                 # sets that are compared with a leader at once
 SMALL = 32                 # groups up to this size are compared without a tree
-WIDE = 8                   # the trees' bitmaps are so many times as wide, nearly all tokens have a bit of their own
 FANOUT = 8
+_LOWEST = np.array([(1 << min(n, 8)) - 1 for n in range(16)], np.uint8)
+_OPEN = np.stack((np.tile(_LOWEST, 16), np.repeat(_LOWEST, 16)), axis=1)   # both buckets of a byte as sent
 _CARRIED = pa.schema([("token", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("set_id", pa.int64()),
                       ("n", pa.int64()), ("comp", pa.int64()), ("bits", pa.binary())])
 
@@ -72,12 +73,23 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
-def bitmap(tokens: np.ndarray, spread: int = 1) -> bytes:
-    """One bit per token in the least power of two of bits that holds the set's size, times `spread`."""
-    width = max(64, spread << (len(tokens) - 1).bit_length())
-    bits = np.zeros(width, np.uint8)
-    bits[(tokens >> np.uint64(7)) & np.uint64(width - 1)] = 1
-    return np.packbits(bits).tobytes()
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Bitmap of a set as it is sent: tokens by bucket, half a byte each.
+
+    Each bucket has eight bits, one per token and set from the lowest, so their
+    number tells them; tokens beyond eight have none. The buckets are the least
+    power of two that leaves two tokens to each on average, so nearly all tokens
+    have a bit of their own.
+    """
+    buckets = max(8, 1 << (-(-len(tokens) // 2) - 1).bit_length())
+    at = ((tokens >> np.uint64(7)) & np.uint64(buckets - 1)).astype(np.int64)
+    counts = np.minimum(np.bincount(at, minlength=buckets), 8).astype(np.uint8)
+    return (counts[::2] | counts[1::2] << np.uint8(4)).tobytes()
+
+
+def opened(sent: list[bytes]) -> list[bytes]:
+    """The bitmaps themselves, a byte per bucket."""
+    return [_OPEN[np.frombuffer(s, np.uint8)].tobytes() for s in sent]
 
 
 def _prefixes(size: int, percent: int, frequent: np.ndarray, batches) -> Iterator[pa.RecordBatch]:
@@ -93,11 +105,11 @@ def _prefixes(size: int, percent: int, frequent: np.ndarray, batches) -> Iterato
                 late = frequent[at] == tokens
                 ordered = np.concatenate((tokens[~late], tokens[late]))
             prefix = ordered[:prefix_length(len(tokens), percent)].view(np.int64)
-            out.append((doc_id, _set_id(tokens), len(tokens), prefix, bitmap(tokens), bitmap(tokens, WIDE)))
-        columns = list(zip(*out)) or [[]] * 6
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+            out.append((doc_id, _set_id(tokens), len(tokens), prefix, bitmap(tokens)))
+        columns = list(zip(*out)) or [[]] * 5
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                         names=["doc_id", "set_id", "n", "prefix", "bits", "wide"])
+                                         names=["doc_id", "set_id", "n", "prefix", "bits"])
 
 
 # -- bounds ------------------------------------------------------------------
@@ -112,8 +124,8 @@ def _needed(na, nb, percent: int):
 def _prune_pairs(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
-        for row in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_n", "b_n", "a_bits", "b_bits"))):
-            a, b, na, nb, x, y = row
+        bits = [opened(batch.column(c).to_pylist()) for c in ("a_bits", "b_bits")]
+        for a, b, na, nb, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_n", "b_n")), *bits):
             if _bound(x, na, y, nb) >= _needed(na, nb, percent):
                 keep.append((a, b))
         yield _pair_batch(keep)
@@ -122,13 +134,21 @@ def _prune_pairs(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 def _bound(a: bytes, na: int, b: bytes, nb: int) -> int:
     """Largest overlap that two bitmaps allow.
 
-    Common tokens share bits; tokens beyond the bits of a set share one with
-    another. The narrower bitmap is repeated to the width of the other.
+    A bucket's bits are set from the lowest, so the AND counts the smaller
+    number of tokens. Tokens without a bit may all be common. The wider bitmap
+    is folded to the width of the other.
     """
-    spare = min(na - int.from_bytes(a, "big").bit_count(), nb - int.from_bytes(b, "big").bit_count())
-    width = max(len(a), len(b))
-    x, y = (int.from_bytes(s * (width // len(s)), "big") for s in (a, b))
-    return (x & y).bit_count() + spare
+    a, b = _folded(a, len(b)), _folded(b, len(a))
+    x, y = int.from_bytes(a, "big"), int.from_bytes(b, "big")
+    return (x & y).bit_count() + min(na - x.bit_count(), nb - y.bit_count())
+
+
+def _folded(bits: bytes, width: int) -> bytes:
+    """The bitmap with no more than `width` buckets."""
+    if len(bits) <= width:
+        return bits
+    counts = np.bitwise_count(np.frombuffer(bits, np.uint8)).reshape(-1, width).sum(0)
+    return _LOWEST[np.minimum(counts, 8)].tobytes()
 
 
 class Tree:
@@ -212,7 +232,7 @@ def _traverse(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 
 def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int) -> pa.RecordBatch:
     ids, n, comp = (rows.column(c).to_numpy() for c in ("set_id", "n", "comp"))
-    bits = rows.column("bits")
+    bits = opened(rows.column("bits").to_pylist())
     sizes = np.diff(cuts)
     group = np.repeat(np.arange(len(sizes)), sizes)
     small = (sizes <= SMALL)[group]
@@ -224,13 +244,17 @@ def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int) -> pa.RecordBatch:
         for at in np.flatnonzero(same).tolist():
             x, y = int(ids[at]), int(ids[at + shift])
             pair = (min(x, y), max(x, y))
-            if pair not in pairs and _bound(bits[at].as_py(), int(n[at]), bits[at + shift].as_py(),
+            if pair not in pairs and _bound(bits[at], int(n[at]), bits[at + shift],
                                             int(n[at + shift])) >= _needed(int(n[at]), int(n[at + shift]), percent):
                 pairs[pair] = int(names[at])
     for number in np.flatnonzero(sizes > SMALL).tolist():
         low, high = int(cuts[number]), int(cuts[number + 1])
-        tree = Tree(n[low:high], comp[low:high], bits.slice(low, high - low).to_pylist())
+        tree = Tree(n[low:high], comp[low:high], bits[low:high])
         u, v = tree.candidates(percent)
+        own = range(low, high)
+        near = [_bound(bits[own[x]], int(n[own[x]]), bits[own[y]], int(n[own[y]])) >= _needed(
+            int(n[own[x]]), int(n[own[y]]), percent) for x, y in zip(u.tolist(), v.tolist())]
+        u, v = u[near], v[near]
         x, y = ids[low + u], ids[low + v]
         pairs.update(dict.fromkeys(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()), int(names[low])))
     found = [(g, a, b) for (a, b), g in pairs.items() if a != b]
@@ -318,7 +342,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         F.desc("n"), "token").limit(FREQUENT_TOKENS)
     frequent = np.sort(np.array([r[0] for r in top.select("token").collect()], np.int64).view(np.uint64))
     with_prefix = base.mapInArrow(partial(_prefixes, size, percent, frequent),
-                                  "doc_id long, set_id long, n long, prefix array<long>, bits binary, wide binary")
+                                  "doc_id long, set_id long, n long, prefix array<long>, bits binary")
     sets = stored(with_prefix.join(reps, ["doc_id", "set_id"], "left_semi"), "prefixes")
 
     token = Window.partitionBy("token")
@@ -359,7 +383,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         F.col("i_high") * 100 >= percent * F.col("j_low"))).select("token", "i", "j")
     split = large.join(meets, "token").filter("block = i or block = j")
     columns = ["token", "i", "j", "set_id", "n", "comp"]
-    placed = alone.select(*columns).union(split.select(*columns)).join(sets.select("set_id", F.col("wide").alias("bits")), "set_id")
+    placed = alone.select(*columns).union(split.select(*columns)).join(sets.select("set_id", "bits"), "set_id")
     dealt = placed.select(*columns, "bits").repartition("token", "i", "j").sortWithinPartitions(
         "token", "i", "j", "n", "set_id")
     met = dealt.mapInArrow(partial(_traverse, percent), "g long, a long, b long")
