@@ -3,6 +3,7 @@
 from collections import Counter
 
 import brute
+import numpy as np
 import public_tokenizers as P
 import pytest
 from conftest import EDGES
@@ -40,6 +41,25 @@ def test_jaccard(edges, nothing):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(IDS) - {None, 2})
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_bitmap_bounds(seed):
+    """No bitmap may rule out a link: equal and unequal widths, also where tokens crowd into few buckets."""
+    random = np.random.default_rng(seed)
+    for crowded in (False, True) * 150:
+        n = int(random.integers(1, 400))
+        tokens = random.integers(0, 2**63, 3 * n, dtype=np.uint64)
+        if crowded:
+            tokens = tokens & np.uint64(0xF80) | tokens << np.uint64(20)
+        start = int(random.integers(0, n + 1))
+        a, b = np.unique(tokens[:n]), np.unique(tokens[start:start + int(random.integers(1, 2 * n + 1))])
+        x, y = jaccard_join.opened([jaccard_join.bitmap(a), jaccard_join.bitmap(b)])
+        both = len(np.intersect1d(a, b))
+        assert jaccard_join._bound(x, len(a), y, len(b)) >= both
+        percent = 100 * both // (len(a) + len(b) - both)
+        tree = jaccard_join.Tree(np.array([len(a), len(b)]), np.array([1, 2]), [x, y])
+        assert tree.may_link(0, np.array([0]), np.array([1]), percent)[0]
+
+
 def test_tokens(edges, nothing):
     texts = Counter((i, t) for i, t, _ in EDGES)
     got = byte_bpe.encode_and_decode(edges, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).collect()
