@@ -313,8 +313,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, per
 
 
 def _same_sets(token: WindowSpec) -> Column:
-    """Key of the sets that stand under a token: their number and two checksums of their ids."""
-    return F.struct(F.count(F.lit(1)).over(token).alias("many"), F.bit_xor(F.xxhash64("set_id")).over(token).alias("lo"),
+    """Key of the sets that stand under a token: their number, a sum that repeats cannot cancel, and a checksum of their ids."""
+    return F.struct(F.count(F.lit(1)).over(token).alias("many"),
+                    F.sum(F.shiftrightunsigned(F.xxhash64("set_id"), 32)).over(token).alias("lo"),
                     F.bit_xor(F.xxhash64(F.lit(7), "set_id")).over(token).alias("hi"))
 
 
@@ -343,7 +344,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     frequent = np.sort(np.array([r[0] for r in top.select("token").collect()], np.int64).view(np.uint64))
     with_prefix = base.mapInArrow(partial(_prefixes, size, percent, frequent),
                                   "doc_id long, set_id long, n long, prefix array<long>, bits binary")
-    sets = stored(with_prefix.join(reps, ["doc_id", "set_id"], "left_semi"), "prefixes")
+    # rows may repeat, and texts of one doc_id may have the same set: one row per set, dealt as the join deals them
+    sets = stored(with_prefix.join(reps, ["doc_id", "set_id"], "left_semi").dropDuplicates(["doc_id", "set_id"]), "prefixes")
 
     token = Window.partitionBy("token")
     by_size = token.orderBy("n", "set_id")

@@ -41,6 +41,19 @@ def test_jaccard(edges, nothing):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(IDS) - {None, 2})
 
 
+def test_jaccard_repeated_rows(spark):
+    """Groups of near copies in which every row stands twice, also as another text with the same set."""
+    from itertools import chain
+
+    body = [" ".join(f"{group}{k}" for k in range(60)) for group in ("first", "second", "third")]
+    texts = list(chain.from_iterable((b, b + " more") for b in body))
+    once = list(enumerate(texts, 1))
+    docs = spark.createDataFrame(once + [(i, t) for i, t in once[:4]] + [(i, t.upper()) for i, t in once[4:]],
+                                 "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.component_id) for r in jaccard_join.jaccard_components(docs, 3, 90).collect())
+    assert got == [(i, i - 1 + i % 2) for i in range(1, 7) for _ in range(2)]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_bitmap_bounds(seed):
     """No bitmap may rule out a link: equal and unequal widths, also where tokens crowd into few buckets."""
