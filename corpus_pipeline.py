@@ -36,7 +36,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of what is left, placed in sequences of 2048 tokens."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end=0, added=True)
 
 
 STAGES = [

@@ -89,13 +89,13 @@ def _file(uri: str):
     return pafs.FileSystem.from_uri(uri) if "://" in uri else pafs.FileSystem.from_uri(os.path.abspath(uri))
 
 
-def _write(folder: str, tokenizer: str, end: int, length: int, batches) -> Iterator[pa.RecordBatch]:
+def _write(folder: str, tokenizer: str, end: int, length: int, added: bool, batches) -> Iterator[pa.RecordBatch]:
     """Write one file for this partition; tell its number, documents and tokens.
 
     The file is written beside its name and moved there, so a retried or
     doubled task leaves one whole file with the same content.
     """
-    encoder = piece_encoder(tokenizer)
+    encoder = piece_encoder(tokenizer, added)
     wide = max(encoder.whole.get_vocab_size(), end + 1) > 1 << 16
     context = TaskContext.get()
     part = context.partitionId()
@@ -120,7 +120,8 @@ def _write(folder: str, tokenizer: str, end: int, length: int, batches) -> Itera
         "part": part, "file": f"{folder}/part-{part:06d}.arrows", "docs": writer.docs, "tokens": writer.tokens}])
 
 
-def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end: int, length: int = LENGTH) -> DataFrame:
+def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end: int, length: int = LENGTH,
+                    added: bool = False) -> DataFrame:
     """Write docs(doc_id, text) in ascending doc_id order; return (part, file, docs, tokens) per file.
 
     A range partition is a file, so files and the rows in them follow doc_id
@@ -131,7 +132,7 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end: int, leng
     parts = base.sparkSession.conf.get("spark.sql.shuffle.partitions")
     ordered = base.repartitionByRange(int(parts), "doc_id", "text").sortWithinPartitions("doc_id", "text")
     told = "part long, file string, docs long, tokens long"
-    return stored(ordered.mapInArrow(partial(_write, folder, tokenizer, end, length), told), "manifest")
+    return stored(ordered.mapInArrow(partial(_write, folder, tokenizer, end, length, added), told), "manifest")
 
 
 class SequenceFile:
@@ -203,6 +204,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_files(docs: DataFrame, tokenizer: str, end: int, length: int = LENGTH) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str, end: int, length: int = LENGTH, added: bool = False) -> DataFrame:
     """Write docs to a new folder below the shared one and read every document back."""
-    return read_documents(write_sequences(docs, scratch(docs.sparkSession, "sequences"), tokenizer, end, length))
+    folder = scratch(docs.sparkSession, "sequences")
+    return read_documents(write_sequences(docs, folder, tokenizer, end, length, added))

@@ -17,7 +17,8 @@ def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_arrow_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return arrow_tokens.token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+    docs = table(spark, folder, "documents")
+    return arrow_tokens.token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end=2, added=True)
 
 
 def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,7 +51,7 @@ def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0, added=True)
 
 
 def op9_wrappers(spark: SparkSession, folder: str) -> DataFrame:

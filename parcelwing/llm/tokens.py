@@ -3,7 +3,8 @@
 A space between two other characters always starts a new pre-token, so the ids
 of a text are those of its pieces between spaces, one after another. Pieces
 recur; a worker remembers their ids and gives the library the new ones only.
-Texts with doubled spaces, or white space beside a space, go to the library whole.
+Texts with doubled spaces, or white space beside a space, go to the library whole;
+so do those that hold the content of an added token, if these are to be found.
 """
 
 from __future__ import annotations
@@ -40,11 +41,17 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class PieceEncoder:
-    """ids (little-endian unsigned 32-bit, as bytes) of texts for one tokenizer file."""
+    """ids (little-endian unsigned 32-bit, as bytes) of texts for one tokenizer file.
 
-    def __init__(self, path: str):
+    With `added`, strings such as <|endoftext|> in a text get the ids of the
+    file's added tokens, the library's default; without, they are plain text.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = not added
+        names = [token.content for token in self.whole.get_added_tokens_decoder().values()] if added else []
+        self.added = regex.compile("|".join(map(regex.escape, names))) if names else None
         self.model = Tokenizer(self.whole.model)
         self.normalizer = self.whole.normalizer
         self.lead = "" if self.normalizer else " "
@@ -110,6 +117,7 @@ class PieceEncoder:
         for text, head, pieces in zip(texts, heads, cut):
             try:
                 odd = bool(pieces) and (not head or head[-1].isspace())
+                odd = odd or self.added is not None and self.added.search(text) is not None
                 out.append(self._whole(text) if odd else self._whole(head) + b"".join(map(known, pieces)))
             except KeyError:
                 out.append(self._whole(text))
@@ -121,5 +129,5 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=4)
-def piece_encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def piece_encoder(path: str, added: bool = False) -> PieceEncoder:
+    return PieceEncoder(path, added)
