@@ -19,13 +19,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go.
+    """Documents that the rules reject go; those that stay lose their frequent lines.
 
     The verdicts are stored before they are used: a filter on them would be
     moved below the join and compute the figures of each text many times over.
     """
     columns = [plain(c) for c in docs.columns]
-    judged = stored(line_rules(docs).select(*columns, F.col("kept").alias("_kept")), "judged")
+    cleaned = [F.col("clean_text").alias("text") if c == "text" else F.col(plain(c)) for c in docs.columns]
+    judged = stored(line_rules(docs).select(*cleaned, F.col("kept").alias("_kept")), "judged")
     return judged.filter("_kept").select(columns)
 
 

@@ -18,6 +18,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_LINE_DOCS = 10          # a line may stand in so many texts of a host, whatever the host's size
 MAX_LINE_PERCENT = 5        # and in so many percent of the host's texts
+MAX_LINE_DOCS = 1_000       # but in no more texts than this, however large the host
 MAX_REMOVED_PERCENT = 70    # a text that loses more of its words is depleted
 
 
@@ -81,48 +82,63 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(line, UPPER, LOWER), r"[ \t\n\x0B\f\r]+", " "))
 
 
-def depleted_texts(docs: DataFrame) -> DataFrame:
-    """(_host, _key) of the texts that lose too many words with the lines that are frequent on their host.
+def frequent_lines(docs: DataFrame) -> DataFrame:
+    """Of each text with a line that is frequent on its host: _host, _key, _cut, _lost.
+
+    _cut tells by position, to the last such line, which lines go; _lost whether
+    too many words go with them.
 
     Equal texts count as one document. Lines are hashed in the row; only host,
     text key, position, hash and word count travel, equal texts are combined
     before the shuffle, and a line that a third of all documents share is
     counted from partial sums.
     """
-    lines = F.filter(F.split("_text", "\n", -1), _has_word)
-    hashed = F.transform(lines, lambda line: F.struct(
-        F.xxhash64(normal_line(line)).alias("line"), F.size(_words(line)).alias("words")))
-    placed = docs.filter("_text is not null").select("_host", "_key", F.posexplode(hashed).alias("at", "l"))
-    distinct = placed.groupBy("_host", "_key", "at", F.col("l.line").alias("line")).agg(
+    hashed = F.transform(F.split("_text", "\n", -1), lambda line, at: F.struct(
+        at.alias("at"), F.xxhash64(normal_line(line)).alias("line"), F.size(_words(line)).alias("words")))
+    placed = docs.filter("_text is not null").select(
+        "_host", "_key", F.explode(F.filter(hashed, lambda line: line["words"] > 0)).alias("l"))
+    distinct = placed.groupBy("_host", "_key", F.col("l.at").alias("at"), F.col("l.line").alias("line")).agg(
         F.max("l.words").alias("words"))
     hosts = docs.filter("_text is not null").select("_host", "_key").distinct().groupBy("_host").agg(
         F.count(F.lit(1)).alias("texts"))
     spread = distinct.groupBy("_host", "line").agg(F.countDistinct("_key").alias("docs"))
     frequent = spread.filter(F.col("docs") > MIN_LINE_DOCS).join(hosts, "_host").filter(
-        100 * F.col("docs") > MAX_LINE_PERCENT * F.col("texts")).select("_host", "line", F.lit(1).alias("cut"))
+        (100 * F.col("docs") > MAX_LINE_PERCENT * F.col("texts")) | (F.col("docs") > MAX_LINE_DOCS)).select("_host", "line", F.lit(1).alias("cut"))
     marked = distinct.join(frequent, ["_host", "line"], "left")
     lost = marked.groupBy("_host", "_key").agg(
-        F.sum("words").alias("all"), F.sum(F.when(F.col("cut").isNotNull(), F.col("words"))).alias("removed"))
-    return lost.filter(F.col("removed") * 100 > MAX_REMOVED_PERCENT * F.col("all")).select("_host", "_key")
+        F.sum("words").alias("all"), F.sum(F.when(F.col("cut").isNotNull(), F.col("words"))).alias("removed"),
+        F.sort_array(F.collect_list(F.when(F.col("cut").isNotNull(), F.col("at")))).alias("ats"))
+    before = F.concat(F.array(F.lit(-1)), F.slice("ats", 1, F.size("ats") - 1))
+    flags = F.flatten(F.zip_with(before, "ats", lambda last, at: F.concat(
+        F.array_repeat(F.lit(False), at - last - 1), F.array(F.lit(True)))))
+    return lost.filter(F.size("ats") > 0).select("_host", "_key", flags.alias("_cut"), (
+        F.col("removed") * 100 > MAX_REMOVED_PERCENT * F.col("all")).alias("_lost"))
+
+
+def clean_text() -> Column:
+    """The text without its frequent lines; other lines, blank ones too, stay as they are."""
+    left = F.filter(F.split("text", "\n", -1), lambda _, at: ~F.coalesce(F.get("_cut", at), F.lit(False)))
+    return F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
 
 
 def line_rules(docs: DataFrame, host: str = "source") -> DataFrame:
-    """docs with the figures, base_failed and kept.
+    """docs with the figures, base_failed, kept and clean_text.
 
     kept is false for a text that fails the base rules or is depleted: over 70 %
-    of its words stand in lines that over 10 and over 5 % of its host's distinct
-    texts hold. A null host is a host of its own. A null or empty text has no
+    of its words stand in frequent lines: over 10 and over 5 % of its host's
+    distinct texts hold them, or over 1,000. clean_text is the text without these
+    lines; the figures are those of the whole text. A null host is a host of its own. A null or empty text has no
     words and fails. Rows repeat as they came. Columns of docs keep their values,
     except those named like a result, which are replaced.
     """
-    results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text")
     others = [F.col(plain(c)) for c in docs.columns if c not in results]
     prepared = docs.select(*others, F.col("text").alias("_text"), text_key().alias("_key"), F.concat(
         F.when(F.col(plain(host)).isNull(), F.lit("0")).otherwise(F.lit("1")),
         F.coalesce(F.col(plain(host)).cast("string"), F.lit(""))).alias("_host"))
-    depleted = depleted_texts(prepared.select("_text", "_key", "_host")).withColumn("_lost", F.lit(True))
+    frequent = frequent_lines(prepared.select("_text", "_key", "_host"))
     figures = text_figures(prepared).withColumn("base_failed", base_failed()).drop("_text")
-    judged = figures.join(depleted, ["_host", "_key"], "left")
-    verdict = ~F.col("base_failed") & F.col("_lost").isNull()
-    return judged.withColumn("kept", verdict).select(
+    judged = figures.join(frequent, ["_host", "_key"], "left")
+    verdict = ~F.col("base_failed") & ~F.coalesce("_lost", F.lit(False))
+    return judged.withColumns({"kept": verdict, "clean_text": clean_text()}).select(
         *[plain(c) for c in docs.columns if c not in results], *results)

@@ -24,7 +24,7 @@ def op2_arrow_tokens(spark: SparkSession, folder: str) -> DataFrame:
 def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = line_rules.line_rules(table(spark, folder, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", "kept")
+                         "base_failed", "kept", "clean_text")
 
 
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
