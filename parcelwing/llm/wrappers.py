@@ -48,7 +48,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 _CUT = re.compile(r"<[a-zA-Z/!][^>]*\Z")     # a tag that the end of the page cuts
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")     # one whole, so no value is a name
 _NAME = re.compile(r"[a-z]+", re.I)
 
 
@@ -63,7 +63,7 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
                 other |= any(part.lower() in MARKED for part in _NAME.findall(value)) and tag not in ("body", "html", *MAIN)
             elif name == "role":
                 other |= value.lower() in ROLES
-            else:
+            elif name in ("hidden", "aria-hidden"):
                 other |= name == "hidden" or value.lower() == "true"
     return label, other
 
