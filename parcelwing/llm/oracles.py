@@ -73,3 +73,36 @@ def merkle() -> str:
     SELECT x.doc_id, x.leaf, x.subroot, root.h AS root, sha256(x.sibs) AS proof_sha256, x.cur AS folded_root,
            x.cur = root.h AS verified
     FROM q{last} x CROSS JOIN b{LEVELS} AS root"""
+
+
+def collocations(longest: int = 5, least: int = 100, top: int = 2000) -> str:
+    words = "list_filter(string_split_regex(piece, '[ \\t]+'), lambda w: w <> '')"
+    return f"""
+    WITH texts AS (
+        SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {_UPPER}, {_LOWER}) AS text FROM documents),
+    pieces AS (
+        SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\n\\x0B\\x0C\\r]')) AS piece FROM texts),
+    runs AS MATERIALIZED (SELECT lang, {words} AS words FROM pieces),
+    totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM runs GROUP BY lang),
+    places AS (
+        SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS place
+        FROM runs CROSS JOIN range(1, {longest + 1}) AS sizes(size) WHERE len(words) >= size),
+    found AS MATERIALIZED (
+        SELECT lang, words[place:place + size - 1] AS words, any_value(size) AS size, count(*) AS f
+        FROM places GROUP BY lang, words[place:place + size - 1] HAVING count(*) >= {least}),
+    candidates AS MATERIALIZED (SELECT * FROM found WHERE size > 1),
+    cuts AS (SELECT lang, words, f, size, unnest(range(1, size)) AS k FROM candidates),
+    scored AS (
+        SELECT c.lang, c.words, c.f AS a, c.k, x.f AS l, y.f AS r, t.n,
+               (1000::HUGEINT * c.f * t.n // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts c JOIN found x ON x.lang = c.lang AND x.words = c.words[1:c.k]
+        JOIN found y ON y.lang = c.lang AND y.words = c.words[c.k + 1:] JOIN totals t ON t.lang = c.lang),
+    weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+    lengths AS (SELECT lang, words, f, size, unnest(range(2, size)) AS k FROM candidates WHERE size > 2),
+    inner_ AS (SELECT lang, words, f, k, unnest(range(1, size - k + 2)) AS place FROM lengths),
+    around AS (SELECT lang, words[place:place + k - 1] AS words, max(f) AS f FROM inner_ GROUP BY ALL),
+    kept AS (
+        SELECT w.*, array_to_string(w.words, ' ') AS phrase FROM weakest w
+        LEFT JOIN around o ON o.lang = w.lang AND o.words = w.words WHERE o.f IS NULL OR 100 * o.f < 100 * w.a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= {top}"""

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwing.llm import (arrow_tokens, byte_bpe, jaccard_join, license_scan, line_rules, merkle, oracles, packing,
-                            quality_model, sharding, topk, wrappers)
+from parcelwing.llm import (arrow_tokens, byte_bpe, collocations, jaccard_join, license_scan, line_rules, merkle, oracles,
+                            packing, quality_model, sharding, topk, wrappers)
 from parcelwing.llm.common import table
 
 
@@ -66,8 +66,12 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(table(spark, folder, "documents"))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), longest=5, least=100, top=2000)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_jaccard_join, op2_arrow_tokens, op3_line_rules, op4_license_scan, op5_byte_bpe, op6_quality_model, op7_topk,
-    op8_packing, op9_wrappers, op10_sharding, op12_merkle)}
+    op8_packing, op9_wrappers, op10_sharding, op12_merkle, op13_collocations)}
 
-ORACLE: dict[str, str] = {"op12_merkle": oracles.merkle()}
+ORACLE: dict[str, str] = {"op12_merkle": oracles.merkle(), "op13_collocations": oracles.collocations()}
