@@ -1,43 +1,53 @@
-"""Token ids of many texts with the tokenizers library, each distinct word encoded once per worker.
+"""Token ids of many texts by a tokenizers file, nothing remembered between texts.
 
-A space between two other characters always starts a new pre-token, so the ids
-of a text are those of its pieces between spaces, one after another. Pieces
-recur; a worker remembers their ids and gives the library the new ones only.
-Texts with doubled spaces, or white space beside a space, go to the library whole;
-so do those that hold the content of an added token, if these are to be found.
+The file's vocabulary is given to a faster merger, tiktoken, which joins the same
+pairs in the same order: in these files an id is also the rank of its merge. A
+vocabulary whose words carry an end mark gets it as a zero byte after each word.
+Characters on whose class, case or composed form libraries may differ, and added
+tokens where they are to be found, send a text to the tokenizers library itself.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import struct
+from array import array
 from functools import lru_cache
-from itertools import filterfalse
 
 import regex
+import tiktoken
 
 # Spark runs a task per core; threads of the library would only wait for one another
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
-REMEMBERED = 500_000    # pieces, and pre-tokens, that a worker remembers
+# fixed values: how the two kinds of files split a text into pre-tokens
 GPT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CLIP_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+WORD_END = "\x00"
+LONG_RUN = 50_000
+# long-assigned characters; with a normalizer only those that are composed and lower-cased one by one
+KNOWN = r"\t\n\r\x20-\x7e\xa0-ɏͰ-ϿЀ-ӿ‐-‧€぀-ヿ一-龥가-힣"
+KNOWN_CASED = r"\t\n\r\x20-\x7e\xa0-\xb4\xb6-\xff‐-‧€"
 
 
-def _byte_alphabet() -> dict[int, str]:
-    """The printable stand-ins that byte-level vocabularies use for bytes."""
+def _byte_alphabet() -> dict[str, int]:
+    """The bytes that the printable characters of byte-level vocabularies stand for."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in set(shown)]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-_ALPHABET = _byte_alphabet()
-
-
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def _ranks(vocabulary: dict[str, int], end: str) -> dict[bytes, int]:
+    """id of every token by its bytes, a word's end as a zero byte."""
+    alphabet = _byte_alphabet()
+    out = {}
+    for token, number in vocabulary.items():
+        last = bool(end) and token.endswith(end)
+        body = token[:-len(end)] if last else token
+        out[bytes(alphabet[c] for c in body) + b"\0" * last] = number
+    return out
 
 
 class PieceEncoder:
@@ -50,82 +60,27 @@ class PieceEncoder:
     def __init__(self, path: str, added: bool = False):
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = not added
-        names = [token.content for token in self.whole.get_added_tokens_decoder().values()] if added else []
-        self.added = regex.compile("|".join(map(regex.escape, names))) if names else None
-        self.model = Tokenizer(self.whole.model)
-        self.normalizer = self.whole.normalizer
-        self.lead = "" if self.normalizer else " "
-        self.pattern = regex.compile(CLIP_PATTERN if self.normalizer else GPT_PATTERN)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces: split as the tokenizer does, then merge with its model."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        fresh = []
-        for piece in pieces:
-            old = self.older.get(piece)
-            if old is None:
-                fresh.append(piece)
-            else:
-                self.known[piece] = old
-        if len(self.words) > REMEMBERED:
-            self.words = {}
-        split = [self._words(piece) for piece in fresh]
-        self._merge({w for words in split for w in words if w not in self.words})
-        words = self.words
-        for piece, parts in zip(fresh, split):
-            self.known[piece] = words[parts[0]] if len(parts) == 1 else b"".join([words[w] for w in parts])
-
-    def _words(self, piece: str) -> list[str]:
-        """Pre-tokens of a piece and the blank before it, as the tokenizer splits them."""
-        if self.normalizer:
-            piece = piece.lower() if piece.isascii() else self.normalizer.normalize_str(piece)
-        if piece.isalpha():
-            return [self.lead + piece]
-        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
-            return [self.lead + piece[:-1], piece[-1]]
-        return self.pattern.findall(self.lead + piece)
-
-    def _merge(self, new: set[str]) -> None:
-        """Ids of pre-tokens that are not known yet, by the library's model."""
-        fresh = list(new)
-        for start in range(0, len(fresh), 2000):
-            part = fresh[start:start + 2000]
-            shown = [[w.replace(" ", _ALPHABET[32])] if w.isascii() and w.isprintable() else [
-                w.encode().decode("latin-1").translate(_ALPHABET)] for w in part]
-            found = self.model.encode_batch_fast(shown, is_pretokenized=True, add_special_tokens=False)
-            for word, encoding in zip(part, found):
-                self.words[word] = _packed(encoding.ids)
+        model = json.loads(self.whole.to_str())["model"]
+        extra = self.whole.get_added_tokens_decoder()
+        words = {token: number for token, number in model["vocab"].items() if number not in extra}
+        end = model["end_of_word_suffix"] or ""
+        # only a file with word ends normalizes: lower case, composed, white space dropped
+        self.words = regex.compile(CLIP_PATTERN) if end else None
+        pattern = f"[^{WORD_END}]+{WORD_END}" if end else GPT_PATTERN
+        self.merger = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=_ranks(words, end), special_tokens={})
+        names = [regex.escape(token.content) for token in extra.values()] if added else []
+        self.odd = regex.compile("|".join([f"[^{KNOWN_CASED if end else KNOWN}]", *names]))
+        self.run = regex.compile(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [text.split(" ") for text in texts]
-        heads = [pieces[0] for pieces in cut]
-        new: set[str] = set()
-        for pieces in cut:
-            del pieces[0]
-            new.update(filterfalse(self.known.__contains__, pieces))
-        if len(self.known) > REMEMBERED:
-            new.update(*cut)
-        if new:
-            # a piece that is empty, or has white space at an end, stays unknown
-            self._learn([p for p in new if p and not p[0].isspace() and not p[-1].isspace()])
-        known = self.known.__getitem__
-        out = []
-        for text, head, pieces in zip(texts, heads, cut):
-            try:
-                odd = bool(pieces) and (not head or head[-1].isspace())
-                odd = odd or self.added is not None and self.added.search(text) is not None
-                out.append(self._whole(text) if odd else self._whole(head) + b"".join(map(known, pieces)))
-            except KeyError:
-                out.append(self._whole(text))
-        return out
-
-    def _whole(self, text: str) -> bytes:
-        ids = self.whole.encode(text, add_special_tokens=False).ids if text else []
-        return _packed(ids)
+        return [self._one(text) for text in texts]
+
+    def _one(self, text: str) -> bytes:
+        if self.odd.search(text) or len(text) >= LONG_RUN and self.run.search(text):
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.words:
+            text = "".join([word + WORD_END for word in self.words.findall(text.lower())])
+        return array("I", self.merger.encode_ordinary(text)).tobytes()
 
 
 @lru_cache(maxsize=4)
