@@ -29,6 +29,7 @@ from parcelwing.session import scratch
 
 LENGTH = 2048
 SEQUENCES = 64      # rows of a record batch
+FILE_BYTES = 32 << 20   # text behind one file, about
 
 
 def schema(length: int, wide: bool) -> pa.Schema:
@@ -125,12 +126,15 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end: int, leng
     """Write docs(doc_id, text) in ascending doc_id order; return (part, file, docs, tokens) per file.
 
     A range partition is a file, so files and the rows in them follow doc_id
-    (nulls first, ties by text). A null text is empty and holds the end id
-    alone. `folder` must be one that all executors share.
+    (nulls first, ties by a hash of the text). Their number follows the bytes of
+    all texts. A null text is empty and holds the end id alone. `folder` must be
+    one that all executors share.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = base.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = base.repartitionByRange(int(parts), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+    least = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, (base.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // FILE_BYTES)
+    # only ids and hashes are sampled for the bounds of the ranges
+    ordered = base.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     told = "part long, file string, docs long, tokens long"
     return stored(ordered.mapInArrow(partial(_write, folder, tokenizer, end, length, added), told), "manifest")
 
@@ -147,11 +151,11 @@ class SequenceFile:
     def __len__(self) -> int:
         return self.table.num_rows
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids and mask of sequence i; ids are a view of the file's pages."""
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """ids and mask of sequence i, both views of the file's pages; the mask keeps its packed bits."""
         row = self.table.slice(i, 1)
         ids = row.column("ids").chunk(0).flatten().to_numpy(zero_copy_only=True)
-        return ids, row.column("mask").chunk(0).flatten().to_numpy(zero_copy_only=False)
+        return ids, row.column("mask").chunk(0).flatten()
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """doc_id, its start in the file and its ids, in order; a document may span sequences."""
@@ -196,11 +200,12 @@ def _columns(rows, kinds) -> pa.RecordBatch:
 def read_documents(manifest: DataFrame) -> DataFrame:
     """doc_id, start (tokens of all documents before it), n_tokens and ids_crc32, from the files themselves.
 
-    The manifest has a row per file; a running sum over it places the files.
+    The manifest has a row per file; a running sum over it places the files,
+    which are read in as many tasks.
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long")))
-    dealt = placed.select("file", "before", "part").repartition("part")
+    dealt = placed.select("file", "before", "part").repartition(max(1, manifest.count()), "part")
     return dealt.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
