@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwing.llm import (arrow_tokens, byte_bpe, collocations, jaccard_join, license_scan, line_rules, merkle, oracles,
-                            packing, quality_model, sharding, topk, wrappers)
+from parcelwing.llm import (arrow_tokens, byte_bpe, collocations, differencing, jaccard_join, license_scan, line_rules,
+                            merkle, oracles, packing, quality_model, sharding, topk, wrappers)
 from parcelwing.llm.common import table
 
 
@@ -62,6 +62,11 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.stratified_shards(table(spark, folder, "documents"), shards=24)
 
 
+def op11_differencing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return differencing.pack_evenly(docs, public_tokenizers.path("byte_bpe_50k.json"), end=1, added=True)
+
+
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(table(spark, folder, "documents"))
 
@@ -72,6 +77,6 @@ def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_jaccard_join, op2_arrow_tokens, op3_line_rules, op4_license_scan, op5_byte_bpe, op6_quality_model, op7_topk,
-    op8_packing, op9_wrappers, op10_sharding, op12_merkle, op13_collocations)}
+    op8_packing, op9_wrappers, op10_sharding, op11_differencing, op12_merkle, op13_collocations)}
 
 ORACLE: dict[str, str] = {"op12_merkle": oracles.merkle(), "op13_collocations": oracles.collocations()}
