@@ -101,10 +101,12 @@ def soft_merge(target: DataFrame, change_rows: DataFrame, keys: list[str], at: d
     removed = change_rows.filter((F.col(ACTION) == DELETE) & ~F.col(IS_UPDATE)).select(*keys, F.lit(True).alias("_gone"))
     inserted = change_rows.filter(F.col(ACTION) == INSERT)
     marked = target.join(removed, keys, "left")
-    newly = F.coalesce("_gone", F.lit(False)) & ~F.col("_is_deleted")
+    # rows stored before the first deletion hold no mark
+    before = F.coalesce("_is_deleted", F.lit(False))
+    newly = F.coalesce("_gone", F.lit(False)) & ~before
     kept = marked.withColumns({
         "_deleted_at": F.when(newly, C.moment(at)).otherwise(F.col("_deleted_at")),
-        "_is_deleted": F.col("_is_deleted") | newly,
+        "_is_deleted": before | newly,
     }).join(inserted.select(*keys), keys, "left_anti")
     fresh = inserted.withColumns({"_is_deleted": F.lit(False), "_deleted_at": never})
     return kept.select(*target.columns).unionByName(fresh.select(*target.columns))

@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelwing import rules
 from parcelwing.functions.text import Lexicon
 from parcelwing.plans import gold, silver
-from parcelwing.plans.bronze import to_bronze
+from parcelwing.plans.bronze import live, to_bronze
 from parcelwing.sources import tables
 from parcelwing.sources.schemas import TABLES
+from parcelwing.sources.versions import Staged
+
+FEEDBACK = "silver_delivery_feedback"
 
 
 class _Layer(Mapping):
@@ -50,15 +53,16 @@ class Layers:
         self.raw, self.as_of = raw, as_of
         self.load_ts, self.lexicon = load_ts, lexicon
         self.bronze = _Layer(TABLES, lambda n: to_bronze(raw[n], n, load_ts))
+        self.live = _Layer(TABLES, lambda n: live(self.bronze[n]))
         self.silver = _Layer(silver.MODELS, self._silver)
         self.gold = _Layer(gold.MODELS, self._gold)
 
     def _silver(self, name: str) -> DataFrame:
-        if name == "silver_delivery_feedback":
-            return silver.delivery_feedback(self.bronze, self.as_of, self.lexicon)
+        if name == FEEDBACK:
+            return silver.delivery_feedback(self.live, self.as_of, self.lexicon)
         if name in silver.FROM_SILVER:
             return silver.FROM_SILVER[name](self.silver, self.as_of)
-        return silver.FROM_BRONZE[name](self.bronze, self.as_of)
+        return silver.FROM_BRONZE[name](self.live, self.as_of)
 
     def _gold(self, name: str) -> DataFrame:
         if name in gold.FROM_GOLD:
@@ -72,17 +76,25 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, as_of:
 
     Scored feedback is written once, because two gold tables read the score.
     Each written table cuts the lineage, so a lost executor costs one table's work.
+    All tables are staged before the first becomes visible, and a snapshot names
+    the versions that belong together: a refresh that ends early changes nothing.
     """
     layers = Layers(raw, as_of, load_ts, lexicon)
+    staged: list[tuple[str, tables.VersionedTable, Staged]] = []
+
+    def stage(layer: _Layer, folder: str, key: str, name: str) -> None:
+        table = tables.stored_table(spark, root, folder, name)
+        done = table.stage(layer[key], {"as_of": str(as_of)})
+        layer.replace(key, table.read_staged(done))
+        staged.append((f"{folder}/{name}", table, done))
+
     for name in TABLES:
-        tables.publish_table(layers.bronze[name], root, "bronze", f"bronze_{name}")
-        layers.bronze.replace(name, tables.read_table(spark, root, "bronze", f"bronze_{name}"))
-    feedback = "silver_delivery_feedback"
-    tables.publish_table(layers.silver[feedback], root, "silver", feedback)
-    layers.silver.replace(feedback, tables.read_table(spark, root, "silver", feedback))
+        stage(layers.bronze, "bronze", name, f"bronze_{name}")
+    stage(layers.silver, "silver", FEEDBACK, FEEDBACK)
+    for name in gold.MODELS:
+        stage(layers.gold, "gold", name, name)
+    versions = {key: table.publish(done).number for key, table, done in staged}
+    tables.publish_snapshot(spark, root, versions)
     for name in silver.MODELS:
         tables.publish_view(layers.silver[name], name)
-    for name in gold.MODELS:
-        tables.publish_table(layers.gold[name], root, "gold", name)
-        layers.gold.replace(name, tables.read_table(spark, root, "gold", name))
     return layers

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelwing.sources.schemas import TABLES
+from parcelwing.sources.versions import Files, VersionedTable
 
 # layout of the tables that grow with time, so date filters prune folders
 PARTITION_COLUMNS = {"bronze_flight_logs": ("recorded_at", "recorded_date"),
+                     "fct_deliveries": ("order_created_at", "order_date"),
                      "fct_flight_telemetry": ("hour_bucket", "bucket_date")}
+SNAPSHOTS = "_snapshots"
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -37,15 +43,16 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def stored_table(spark: SparkSession, root: str, layer: str, name: str) -> VersionedTable:
+    """The versions of a table; time-series tables are laid out by day."""
+    return VersionedTable(spark, table_path(root, layer, name), *PARTITION_COLUMNS.get(name, ()))
+
+
 def publish_table(df: DataFrame, root: str, layer: str, name: str) -> str:
-    """Rebuild a table from its query; time-series tables are laid out by day."""
-    path = table_path(root, layer, name)
-    if name in PARTITION_COLUMNS:
-        ts, day = PARTITION_COLUMNS[name]
-        df.withColumn(day, F.to_date(ts)).write.mode("overwrite").partitionBy(day).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
-    return path
+    """Rebuild a table from its query as a new version; readers of the old one keep it."""
+    table = stored_table(df.sparkSession, root, layer, name)
+    table.replace(df)
+    return table.path
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -55,14 +62,55 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    df = spark.read.parquet(table_path(root, layer, name))
-    if name in PARTITION_COLUMNS:
-        df = df.drop(PARTITION_COLUMNS[name][1])
-    return df
+    """The newest version of a table, as of this call."""
+    return stored_table(spark, root, layer, name).read()
+
+
+def read_gold(spark: SparkSession, name: str, root: str, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """A gold table; of one that is laid out by day, only the folders of the days start..end."""
+    table = stored_table(spark, root, "gold", name)
+    return table.read() if start is None and end is None else table.read_days(start, end)
+
+
+class Snapshot(Mapping):
+    """One version of every table, as a refresh left them together: (layer, name) -> DataFrame."""
+
+    def __init__(self, spark: SparkSession, root: str, number: int | None = None):
+        files = Files(spark, root)
+        known = [int(n[:-5]) for n in files.names(f"{root}/{SNAPSHOTS}") if n.endswith(".json")]
+        if not known or number is not None and number not in known:
+            raise FileNotFoundError(f"{root} has no snapshot {'' if number is None else number}")
+        self.spark, self.root, self.number = spark, root, known[-1] if number is None else number
+        self.versions = json.loads(files.read(snapshot_file(root, self.number)))
+
+    def __iter__(self):
+        return (tuple(key.split("/")) for key in self.versions)
+
+    def __len__(self) -> int:
+        return len(self.versions)
+
+    def table(self, layer: str, name: str) -> VersionedTable:
+        return stored_table(self.spark, self.root, layer, name)
+
+    def __getitem__(self, key: tuple[str, str]) -> DataFrame:
+        return self.table(*key).read(self.versions["/".join(key)])
+
+    def days(self, layer: str, name: str, start: dt.date | None, end: dt.date | None) -> DataFrame:
+        return self.table(layer, name).read_days(start, end, self.versions[f"{layer}/{name}"])
+
+
+def snapshot_file(root: str, number: int) -> str:
+    return f"{root}/{SNAPSHOTS}/{number:010d}.json"
 
 
-def read_gold(spark: SparkSession, name: str, root: str) -> DataFrame:
-    return read_table(spark, root, "gold", name)
+def publish_snapshot(spark: SparkSession, root: str, versions: dict[str, int]) -> int:
+    """Name the versions that belong together; tables that are not named keep theirs."""
+    files = Files(spark, root)
+    known = [int(n[:-5]) for n in files.names(f"{root}/{SNAPSHOTS}") if n.endswith(".json")]
+    held = json.loads(files.read(snapshot_file(root, known[-1]))) if known else {}
+    number = known[-1] + 1 if known else 1
+    files.create(snapshot_file(root, number), json.dumps(held | versions))
+    return number
 
 
 def layer_inventory(spark: SparkSession, prefix: str = "") -> DataFrame:
