@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelwing.catalog.domain_sql import LOAD_TS, customer_columns
 from parcelwing.catalog.registry import Context, query
 from parcelwing.operators import cdc
-from parcelwing.plans.silver import flight_logs
-from parcelwing.plans.bronze import to_bronze
+from parcelwing.plans.bronze import live, load_columns, to_bronze
+from parcelwing.plans.silver import customers, flight_logs
 from parcelwing.session import scratch
 from parcelwing.sources import adapter
+from parcelwing.sources.schemas import TABLES
 from parcelwing.streaming import jobs
 
 KEYS = ["customer_id"]
@@ -93,15 +97,59 @@ def _dedup(c):
 
 @query("cdc_stream_apply", "SELECT * FROM cust_v2", VERSIONS)
 def _stream_apply(c):
-    """Two rounds of change files arrive as a stream; the state equals the last version."""
+    """Two change sets arrive in one batch and the first once more; the state equals the last version."""
     v0, v1, v2 = _versions(c)
     inbox, log = scratch(c.spark, "changes"), scratch(c.spark, "log")
     checkpoint = scratch(c.spark, "checkpoint")
-    for old, new in ((v0, v1), (v1, v2)):
-        arriving = cdc.changes(old, new, KEYS)
+    first, second = cdc.stamped(cdc.changes(v0, v1, KEYS), 1), cdc.stamped(cdc.changes(v1, v2, KEYS), 2)
+    for arriving in (second, first):
         arriving.write.mode("append").parquet(inbox)
-        jobs.apply_changes(jobs.change_stream(c.spark, inbox, arriving.schema), log, checkpoint)
-    return jobs.current_state(v0, log, KEYS)
+    jobs.apply_changes(jobs.change_stream(c.spark, inbox, first.schema), log, checkpoint)
+    first.write.mode("append").parquet(inbox)
+    jobs.apply_changes(jobs.change_stream(c.spark, inbox, first.schema), log, checkpoint)
+    return jobs.current_state(v0, log, KEYS, after=0)
+
+
+def _all_tables_sql() -> str:
+    """Rows of each action in each table, from the rule that makes the second version."""
+    parts = []
+    for name, table in TABLES.items():
+        k = f"CAST(regexp_extract({table.key}, '[0-9]+') AS BIGINT)"
+        moved = f"{k} % 11 = 2 AND {table.names[1]} IS NOT NULL"
+        parts.append(
+            f"SELECT '{name}' AS table_name, CAST(count(*) FILTER (WHERE {k} % 17 = 0 AND {k} % 13 <> 1) AS BIGINT) AS deleted, "
+            f"CAST(count(*) FILTER (WHERE {k} % 13 = 1 AND {k} % 17 <> 0) AS BIGINT) AS inserted, "
+            f"CAST(count(*) FILTER (WHERE {k} % 17 <> 0 AND {k} % 13 <> 1 AND {moved}) AS BIGINT) AS updated FROM raw_{name}")
+    return " UNION ALL ".join(parts)
+
+
+@query("cdc_all_tables", _all_tables_sql())
+def _all_tables(c):
+    """Change capture over all raw tables at once: rows deleted, inserted and updated in each."""
+    old, new = {}, {}
+    for name, table in TABLES.items():
+        rows, second = c.raw[name], table.names[1]
+        k = F.regexp_extract(table.key, "[0-9]+", 0).cast("bigint")
+        old[name] = rows.filter(k % 13 != 1)
+        moved = F.when(k % 11 == 2, F.lit(None)).otherwise(F.col(second)).cast(rows.schema[second].dataType)
+        new[name] = rows.filter(k % 17 != 0).withColumn(second, moved)
+    captured = cdc.capture(old, new, {n: t.key for n, t in TABLES.items()}, 1)
+    update, gone = F.col(cdc.IS_UPDATE), F.col(cdc.ACTION) == cdc.DELETE
+    counted = [
+        rows.agg(F.count_if(gone & ~update).alias("deleted"), F.count_if(~gone & ~update).alias("inserted"),
+                 F.count_if(~gone & update).alias("updated")).select(F.lit(name).alias("table_name"), "*")
+        for name, rows in captured.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query("soft_delete_layers", "SELECT customer_id, customer_name, email, phone_clean FROM silver_customers",
+       VERSIONS | {"raw_customers": "SELECT * FROM cust_v1"})
+def _soft_delete_layers(c):
+    """Deletions, updates and inserts of customers through bronze: silver shows the second version only."""
+    v0, v1, _ = _versions(c)
+    arriving = cdc.changes(v0, v1, KEYS).withColumns(load_columns("customers", adapter.LOAD_TS))
+    bronze = cdc.soft_merge(to_bronze(v0, "customers", adapter.LOAD_TS), arriving, KEYS, adapter.LOAD_TS)
+    return customers({"customers": live(bronze)}, adapter.AS_OF).select("customer_id", "customer_name", "email", "phone_clean")
 
 
 @query("telemetry_hourly_stream", "SELECT * FROM fct_flight_telemetry")

@@ -2,11 +2,14 @@
 
 A change table holds the row images and three metadata columns. An update is a
 DELETE of the old image and an INSERT of the new one, both flagged as update.
+Change rows that travel also carry the number of the source version that they
+lead to: it orders them however they arrive, and makes repeats harmless.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +20,7 @@ from parcelwing.operators.windows import comparable, latest_per_key
 INSERT, DELETE = "INSERT", "DELETE"
 ACTION, IS_UPDATE, ROW_ID = "_cdc_action", "_cdc_is_update", "_cdc_row_id"
 METADATA = (ACTION, IS_UPDATE, ROW_ID)
+VERSION = "_cdc_version"
 
 
 def row_id(keys: list[str]) -> Column:
@@ -58,13 +62,25 @@ def changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return _emit(before.join(after, keys, "full_outer"), columns, keys)
 
 
+def stamped(change_rows: DataFrame, version: int) -> DataFrame:
+    """Change rows with the number of the source version that they lead to, counted from 1."""
+    return change_rows.withColumn(VERSION, F.lit(version).cast("long"))
+
+
+def capture(old: Mapping[str, DataFrame], new: Mapping[str, DataFrame], keys: Mapping[str, str],
+            version: int) -> dict[str, DataFrame]:
+    """Stamped net changes of every table of two versions of a source."""
+    return {name: stamped(changes(old[name], new[name], [key]), version) for name, key in keys.items()}
+
+
 def net(log: DataFrame, keys: list[str], version: str) -> DataFrame:
     """Collapse all changes of a key to the net one.
 
     Only the first and the last image of a key matter. They are a minimum and
-    a maximum, so a key with very many changes is combined before the shuffle.
+    a maximum, so a key with very many changes is combined before the shuffle,
+    the order of arrival has no say, and rows that repeat change nothing.
     """
-    columns = [c for c in log.columns if c not in (*METADATA, version)]
+    columns = [c for c in log.columns if c not in (*METADATA, VERSION, version)]
     order = F.when(F.col(ACTION) == INSERT, 1).otherwise(0).alias("_order")
     form = F.struct(*comparable(log, columns)).alias("_form")
     step = F.struct(F.col(version), order, form)

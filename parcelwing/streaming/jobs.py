@@ -1,12 +1,14 @@
 """Continuous change application and hourly telemetry.
 
-Both jobs write each micro-batch to a folder named after its batch id, so a
-replayed batch overwrites its own output and nothing else. Work per batch is
-proportional to the batch; the current state is derived when it is read.
+Both jobs write each micro-batch to a folder named after its stream and batch,
+so a replayed batch overwrites its own output and nothing else. Work per batch
+is proportional to the batch; the current state is derived when it is read.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,22 +18,26 @@ from parcelwing.operators import cdc
 from parcelwing.operators.windows import latest_per_key
 from parcelwing.plans.gold import telemetry_measures
 
-BATCH = "_batch"
+STREAM, BATCH = "_stream", "_batch"
+
 
+def _batch_writer(folder: str, stream: str | None = None):
+    base = folder if stream is None else f"{folder}/{STREAM}={stream}"
 
-def _batch_writer(folder: str):
     def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{base}/{BATCH}={batch_id}")
 
     return write
 
 
 def _run(stream: DataFrame, folder: str, checkpoint: str, mode: str) -> None:
+    """Process what is available. Batches of different checkpoints never share a folder."""
+    name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
     query = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(_batch_writer(folder))
+        .foreachBatch(_batch_writer(folder, name))
         .start()
     )
     query.awaitTermination()
@@ -47,10 +53,25 @@ def apply_changes(changes: DataFrame, log: str, checkpoint: str) -> None:
     _run(changes, log, checkpoint, "append")
 
 
-def current_state(base: DataFrame, log: str, keys: list[str], after: int = -1) -> DataFrame:
-    """The base table with the logged changes of all batches later than `after` applied."""
-    rows = base.sparkSession.read.parquet(log).filter(F.col(BATCH) > after)
-    return cdc.merge(base, cdc.net(rows, keys, BATCH), keys)
+def _logged(spark: SparkSession, log: str) -> tuple[DataFrame, str]:
+    """The log and its ordering column: the source version, or the batch if rows carry no version."""
+    rows = spark.read.parquet(log)
+    return (rows, cdc.VERSION) if cdc.VERSION in rows.columns else (rows, BATCH)
+
+
+def current_state(base: DataFrame, log: str, keys: list[str], after: int = -1, upto: int | None = None) -> DataFrame:
+    """The base table with the logged changes of the versions after..upto applied.
+
+    Versions order the changes. Rows may arrive in any cut into files and batches,
+    in any order, and more than once. Rows without a version are ordered by their
+    batch, which must then hold one change set.
+    """
+    rows, order = _logged(base.sparkSession, log)
+    rows = rows.filter(F.col(order) > after)
+    if upto is not None:
+        rows = rows.filter(F.col(order) <= upto)
+    rows = rows.drop(*[c for c in (STREAM, BATCH) if c != order])
+    return cdc.merge(base, cdc.net(rows, keys, order), keys)
 
 
 def last_batch(spark: SparkSession, log: str) -> int:
@@ -58,14 +79,34 @@ def last_batch(spark: SparkSession, log: str) -> int:
     return spark.read.parquet(log).agg(F.max(BATCH)).first()[0]
 
 
-def compact(base: DataFrame, log: str, keys: list[str], path: str, after: int = -1) -> DataFrame:
-    """Write the current state as a new base.
+def settled_version(spark: SparkSession, log: str, after: int = 0) -> int:
+    """The last version up to which none is missing from the log, counted from `after`.
+
+    One row a version passes through the window. A version of several files counts
+    as there with its first one, so leave versions that may be incomplete to a
+    later call.
+    """
+    rows, _ = _logged(spark, log)
+    seen = rows.filter(F.col(cdc.VERSION) > after).select(F.col(cdc.VERSION).alias("v")).distinct()
+    numbered = seen.selectExpr("v", f"v - {after} - row_number() OVER (ORDER BY v) AS missing")
+    found = numbered.filter("missing = 0").agg(F.max("v")).first()[0]
+    return after if found is None else found
+
+
+def stale_changes(spark: SparkSession, log: str, after: int) -> DataFrame:
+    """Rows per version that a base as of `after` holds already: replays, which the state leaves out."""
+    rows, order = _logged(spark, log)
+    return rows.filter(F.col(order) <= after).groupBy(order).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def compact(base: DataFrame, log: str, keys: list[str], path: str, after: int = -1, upto: int | None = None) -> DataFrame:
+    """Write the state as of version `upto` (default: all that is logged) as a new base.
 
-    Read the state from then on with `after` set to the batch that was the
-    last one at this time; earlier folders of the log are skipped unread.
+    Read the state from then on with `after` set to that version: earlier rows
+    of the log, also those that are replayed later, are left out.
     """
-    current_state(base, log, keys, after).write.mode("overwrite").parquet(path)
-    return base.sparkSession.read.parquet(path)
+    current_state(base, log, keys, after, upto).write.mode("errorifexists").parquet(path)
+    return base.sparkSession.read.schema(base.schema).parquet(path)
 
 
 def hourly_telemetry(flights: DataFrame, lateness: str = "1 hour") -> DataFrame:
@@ -87,7 +128,7 @@ def run_hourly_telemetry(flights: DataFrame, folder: str, checkpoint: str) -> No
 
 def read_hourly_telemetry(spark: SparkSession, folder: str) -> DataFrame:
     """Newest version of every window."""
-    rows = spark.read.parquet(folder)
+    rows = spark.read.parquet(folder).drop(STREAM)
     return latest_per_key(rows, ["aircraft_id", "hour_bucket"], [BATCH]).drop(BATCH)
 
 

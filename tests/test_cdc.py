@@ -6,7 +6,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from parcelwing import session
 from parcelwing.operators import cdc
+from parcelwing.sources import adapter
+from parcelwing.streaming import jobs
 
 SCHEMA = "id int, name string, size int"
 tables = st.dictionaries(st.integers(0, 12), st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None])))
@@ -67,3 +70,47 @@ def test_soft_delete_marks_and_revives(spark):
 def test_dedup_keeps_the_latest_row(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "a", 3), (1, "b", 3), (2, None, None)], SCHEMA)
     assert content(cdc.dedup(df, ["id"], ["size"])) == sorted([(1, "b", 3), (2, None, None)], key=str)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(versions=st.lists(tables, min_size=4, max_size=4), data=st.data())
+def test_any_cut_into_batches_gives_the_last_version(spark, versions, data):
+    """Change rows of three versions in random batches, out of order and some of them repeated."""
+    frames = [frame(spark, v) for v in versions]
+    rows = [r for n, (a, b) in enumerate(zip(frames, frames[1:]), 1)
+            for r in cdc.stamped(cdc.changes(a, b, ["id"]), n).collect()]
+    schema = cdc.stamped(cdc.changes(frames[0], frames[1], ["id"]), 1).schema
+    shuffled = data.draw(st.permutations(rows + rows[::2]))
+    cuts = sorted(data.draw(st.lists(st.integers(0, len(shuffled)), min_size=2, max_size=2)))
+    log = session.scratch(spark, "log")
+    for number, (low, high) in enumerate(zip([0, *cuts], [*cuts, len(shuffled)])):
+        jobs._batch_writer(log, "s")(spark.createDataFrame(shuffled[low:high], schema), number)
+    assert content(jobs.current_state(frames[0], log, ["id"], after=0)) == content(frames[-1])
+    assert content(jobs.current_state(frames[0], log, ["id"], after=0, upto=2)) == content(frames[2])
+    # a base as of version 2: the rows before it, replayed or not, have no say any more
+    base = jobs.compact(frames[0], log, ["id"], session.scratch(spark, "base"), after=0, upto=2)
+    assert content(jobs.current_state(base, log, ["id"], after=2)) == content(frames[-1])
+
+
+def test_settled_version_stops_before_a_gap(spark):
+    log = session.scratch(spark, "log")
+    frames = [frame(spark, {1: ("a", n)}) for n in range(6)]
+    for n in (1, 2, 4, 5):
+        rows = cdc.stamped(cdc.changes(frames[n - 1], frames[n], ["id"]), n)
+        jobs._batch_writer(log, "s")(rows, n)
+    assert jobs.settled_version(spark, log) == 2
+    assert jobs.settled_version(spark, log, after=3) == 5
+    assert jobs.settled_version(spark, log, after=5) == 5
+    assert {(r[0], r["rows"]) for r in jobs.stale_changes(spark, log, 2).collect()} == {(1, 2), (2, 2)}
+
+
+def test_streams_with_other_checkpoints_keep_their_folders(spark):
+    """Two change sets, each by a stream of its own, into one log; both in one batch each, the later first."""
+    v0, v1, v2 = adapter.customer_versions(spark, "/root/testdata/sf0.001")
+    keys, log = ["customer_id"], session.scratch(spark, "log")
+    sets = [cdc.stamped(cdc.changes(v1, v2, keys), 2), cdc.stamped(cdc.changes(v0, v1, keys), 1)]
+    for rows in sets:
+        inbox = session.scratch(spark, "inbox")
+        rows.write.parquet(inbox)
+        jobs.apply_changes(jobs.change_stream(spark, inbox, rows.schema), log, session.scratch(spark, "checkpoint"))
+    assert content(jobs.current_state(v0, log, keys, after=0)) == content(v2)
