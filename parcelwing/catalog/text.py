@@ -48,7 +48,7 @@ def _root_cause_extract(c):
 
 
 def _plain(text: str) -> str:
-    tokens = f"list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda t: t <> '')"
+    tokens = f"list_filter(string_split_regex(lower({text}), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda t: t <> '')"
     return f"' ' || array_to_string({tokens}, ' ') || ' '"
 
 

@@ -74,8 +74,8 @@ def sentences(text) -> Column:
 
 
 def name_tokens(text) -> Column:
-    """Runs of letters and digits in the lower-cased text, as names of parts have them."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+", -1), lambda t: t != "")
+    """Runs of letters and digits of any script in the lower-cased text, as names of parts have them."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+", -1), lambda t: t != "")
 
 
 def with_text_category(df: DataFrame, text: str, categories: dict[str, tuple] = rules.TEXT_CATEGORIES,

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from functools import partial
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,50 +15,73 @@ from parcelwing import rules
 from parcelwing.functions import columns as C
 from parcelwing.functions.text import name_tokens, sentences
 
-GRID_DEGREES = 0.05
+FINEST = 20      # levels of the cell tree: the finest cells are about 40 m wide
 
 
-def _cell(value: Column) -> Column:
-    return F.floor(value / GRID_DEGREES)
+def _cell(value: Column, level: Column) -> Column:
+    """Number of the cell that holds a coordinate, at a level with 2**level cells around the earth."""
+    return F.floor(value * F.pow(F.lit(2.0), level) / 360.0)
 
 
-def _reach(center: Column, half: Column) -> Column:
-    """All grid numbers the interval center +- half touches."""
-    return F.sequence(_cell(center - half), _cell(center + half))
+def _around(column: Column, level: Column) -> Column:
+    """Cell column with the 180th meridian joined up."""
+    return F.pmod(column, F.pow(F.lit(2.0), level).cast("bigint"))
 
 
-def _around(column: Column) -> Column:
-    """Grid column with the 180th meridian joined up."""
-    return F.pmod(column, F.lit(round(360 / GRID_DEGREES)))
+def _rows(center: Column, half: Column, level: Column) -> Column:
+    """Numbers of all cell rows that the latitudes center +- half touch."""
+    return F.sequence(_cell(center - half, level), _cell(center + half, level))
 
 
-def zone_assignment(orders: DataFrame, zones: DataFrame) -> DataFrame:
-    """Each order with the nearest delivery zone whose circle holds its drop-off point, null if none does.
+def _columns(center: Column, half: Column, level: Column) -> Column:
+    """Numbers of all cell columns that the longitudes center +- half touch, each once around the earth."""
+    low, high = _cell(center - half, level), _cell(center + half, level)
+    return F.sequence(low, F.least(high, low + F.pow(F.lit(2.0), level).cast("bigint") - 1))
+
+
+def undominated_zones(zones: DataFrame) -> DataFrame:
+    """Zones that can be nearest to some point: of one spot, those wider than every zone with a smaller id."""
+    earlier = Window.partitionBy("center_lat", "center_lon").orderBy("zone_id").rowsBetween(Window.unboundedPreceding, -1)
+    wider = zones.withColumn("_wider", F.max("radius_km").over(earlier))
+    return wider.filter(F.col("_wider").isNull() | (F.col("radius_km") > F.col("_wider"))).drop("_wider")
+
 
-    Both sides meet on grid cells: a zone is listed under every cell its
-    bounding box touches, an order under its own cell, so the join is an equi
-    join and never looks at far pairs. Orders are spread over salted cells
-    (zones repeated per salt), so a city with a third of all orders is split.
-    The nearest zone is a running minimum combined before the shuffle.
+def zone_cells(zones: DataFrame) -> DataFrame:
+    """Zones under the cells of a tree: each at the finest level whose cells are as wide as its bounding box.
+
+    So a zone touches four cells at most, whatever its size, and small zones in
+    a crowded city lie in small cells.
     """
-    salts = 8
     lat_half = F.col("radius_km") / (rules.EARTH_RADIUS_KM * F.radians(F.lit(1.0))) * 1.001
     edge = F.abs("center_lat") + lat_half
     lon_half = F.when(edge >= 89.9, F.lit(180.0)).otherwise(lat_half / F.cos(F.radians(edge)))
-    columns = F.array_distinct(F.transform(_reach(F.col("center_lon"), lon_half), _around))
-    placed = (
-        zones.select("zone_id", "center_lat", "center_lon", "radius_km")
-        .withColumn("_y", F.explode(_reach(F.col("center_lat"), lat_half)))
-        .withColumn("_x", F.explode(columns))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    points = orders.select(
-        "order_id", "dropoff_lat", "dropoff_lon",
-        _cell(F.col("dropoff_lat")).alias("_y"), _around(_cell(F.col("dropoff_lon"))).alias("_x"),
-        F.pmod(F.xxhash64("order_id"), F.lit(salts)).cast("int").alias("_salt"),
-    )
+    sized = undominated_zones(zones.select("zone_id", "center_lat", "center_lon", "radius_km")).withColumns(
+        {"_lat_half": lat_half, "_lon_half": lon_half})
+    widest = F.greatest("_lat_half", "_lon_half", F.lit(1e-9)) * 2
+    level = F.greatest(F.lit(0), F.least(F.lit(FINEST), F.floor(F.log2(F.lit(360.0) / widest)).cast("int")))
+    placed = sized.withColumn("_level", level)
+    rows = placed.withColumn("_y", F.explode(_rows(F.col("center_lat"), F.col("_lat_half"), F.col("_level"))))
+    cells = rows.withColumn("_column", F.explode(_columns(F.col("center_lon"), F.col("_lon_half"), F.col("_level"))))
+    return cells.withColumn("_x", _around(F.col("_column"), F.col("_level"))).drop("_column", "_lat_half", "_lon_half")
+
+
+def zone_assignment(orders: DataFrame, zones: DataFrame) -> DataFrame:
+    """Each order with the nearest delivery zone whose circle holds its drop-off point, null if none does.
+
+    Both sides meet on cells of a tree, so the join is an equi join and never
+    looks at far pairs: an order is listed under its own cell at each level that
+    has zones, at most 21. A city with very many orders is split by Spark's
+    handling of skewed joins, which an inner join allows on either side. The
+    nearest zone is a running minimum combined before the shuffle.
+    """
+    placed = zone_cells(zones)
+    levels = placed.agg(F.collect_set("_level")).scalar()
+    points = orders.select("order_id", "dropoff_lat", "dropoff_lon").withColumn("_level", F.explode(levels))
+    points = points.select(
+        "order_id", "dropoff_lat", "dropoff_lon", "_level", _cell(F.col("dropoff_lat"), F.col("_level")).alias("_y"),
+        _around(_cell(F.col("dropoff_lon"), F.col("_level")), F.col("_level")).alias("_x"))
     km = C.round_half_up(C.haversine_km("dropoff_lat", "dropoff_lon", "center_lat", "center_lon"), 6)
-    inside = points.join(placed, ["_y", "_x", "_salt"]).withColumn("distance_km", km).filter("distance_km <= radius_km")
+    inside = points.join(placed, ["_level", "_y", "_x"]).withColumn("distance_km", km).filter("distance_km <= radius_km")
     nearest = inside.groupBy("order_id").agg(F.min(F.struct("distance_km", "zone_id")).alias("_best"))
     return orders.select("order_id").join(nearest, "order_id", "left").select(
         "order_id", "_best.zone_id", "_best.distance_km")
@@ -82,32 +109,58 @@ def weather_at_flight(flights: DataFrame, weather: DataFrame) -> DataFrame:
     )
 
 
-def _word_runs(words: Column, length: int) -> Column:
-    """All sequences of `length` consecutive words, joined by blanks."""
-    runs = words
-    for shift in range(1, length):
-        later = F.slice(words, shift + 1, F.size(words))
-        runs = F.zip_with(runs, later, lambda head, word: F.concat(head, F.lit(" "), word))
-    return runs
+CATALOGUE_BYTES = 32 << 20     # names up to which one automaton holds the whole catalogue
+
+
+def _spoken(names: dict[str, list[str]], key: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names in each text, found by one automaton in a single pass over the text."""
+    automaton = ahocorasick.Automaton()
+    for phrase, shown in names.items():
+        automaton.add_word(phrase, shown)
+    automaton.make_automaton()
+    for batch in batches:
+        found = [sorted({n for _, shown in automaton.iter(text) for n in shown}) for text in batch.column("_text").to_pylist()]
+        held = pa.array([bool(f) for f in found])
+        yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found, pa.list_(pa.string()))],
+                                         names=[key, "parts"]).filter(held)
+
+
+def _padded(tokens: Column) -> Column:
+    """Tokens between single blanks, so that a name is found as whole tokens only."""
+    return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
 
 
-def parts_mentioned(logs: DataFrame, parts: DataFrame) -> DataFrame:
+def parts_mentioned(logs: DataFrame, parts: DataFrame, most_bytes: int = CATALOGUE_BYTES) -> DataFrame:
     """Catalogue parts named in each log's text, in alphabetical order.
 
-    Names and texts are cut by the same rule into runs of letters and digits, and
-    the text's runs of tokens meet the catalogue in an equi join; comparing every
-    text with every part name would be a cross join. The lengths tried are those
-    that occur in the catalogue.
+    Names and texts are cut by the same rule into runs of letters and digits of
+    any script. A catalogue up to `most_bytes` becomes an automaton that reads a
+    text once. A larger one stays in Spark: a text's tokens meet the first tokens
+    of the names, and each meeting is compared where it is, with the tokens after
+    it. No text is compared with every name.
     """
     catalogue = parts.select(F.lower(F.trim("part_name")).alias("part_name")).distinct().withColumn(
         "_tokens", name_tokens("part_name")).filter(F.size("_tokens") > 0)
-    lengths = sorted(r[0] for r in catalogue.select(F.size("_tokens")).distinct().collect())
-    named = catalogue.select("part_name", F.array_join("_tokens", " ").alias("_phrase"))
-    runs = [_word_runs(F.col("_words"), length) for length in lengths] or [F.array().cast("array<string>")]
-    phrases = F.array_distinct(F.array_compact(F.concat(*runs)))
-    texts = logs.withColumn("_words", name_tokens("description")).select("log_id", F.explode(phrases).alias("_phrase"))
-    return texts.join(named, "_phrase").groupBy("log_id").agg(
-        F.sort_array(F.collect_set("part_name")).alias("parts"))
+    kind = logs.schema["log_id"].dataType.simpleString()
+    size = catalogue.agg(F.sum(F.octet_length("part_name")), F.max(F.size("_tokens"))).first()
+    if (size[0] or 0) <= most_bytes:
+        names: dict[str, list[str]] = {}
+        for part, phrase in catalogue.select("part_name", _padded(F.col("_tokens"))).collect():
+            names.setdefault(phrase, []).append(part)
+        if not names:
+            return logs.select("log_id", F.array().cast("array<string>").alias("parts")).limit(0)
+        texts = logs.filter(F.col("description").isNotNull()).select("log_id", _padded(name_tokens("description")).alias("_text"))
+        found = texts.mapInArrow(partial(_spoken, names, "log_id"), f"log_id {kind}, parts array<string>")
+        hits = found.select("log_id", F.explode("parts").alias("part_name"))
+    else:
+        named = catalogue.select("part_name", F.col("_tokens")[0].alias("_first"), F.array_join("_tokens", " ").alias("_phrase"),
+                                 F.size("_tokens").alias("_long"))
+        words = logs.select("log_id", name_tokens("description").alias("_words"))
+        places = words.select("log_id", "_words", F.posexplode("_words").alias("_at", "_first")).select(
+            "log_id", "_first", F.slice("_words", F.col("_at") + 1, F.lit(size[1])).alias("_after"))
+        here = F.array_join(F.slice("_after", F.lit(1), F.col("_long")), " ") == F.col("_phrase")
+        hits = places.join(named, "_first").filter(here).select("log_id", "part_name")
+    return hits.groupBy("log_id").agg(F.sort_array(F.collect_set("part_name")).alias("parts"))
 
 
 def inventory_risk(parts: DataFrame, used: DataFrame, logs: DataFrame, as_of: dt.datetime) -> DataFrame:

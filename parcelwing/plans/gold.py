@@ -122,20 +122,43 @@ def fct_deliveries(silver: Inputs, as_of: dt.datetime) -> DataFrame:
     )
 
 
+# averaged measures of the hourly telemetry fact: source column, decimals, result column
+TELEMETRY_AVERAGES = (
+    ("altitude_m", 1, "avg_altitude_m"), ("speed_kmh", 1, "avg_speed_kmh"), ("battery_pct", 1, "avg_battery_pct"))
+TELEMETRY_EXTREMES = (
+    ("max", "altitude_m", "max_altitude_m"), ("max", "speed_kmh", "max_speed_kmh"), ("min", "battery_pct", "min_battery_pct"))
+TELEMETRY_FLAGS = (
+    ("has_anomaly", "anomaly_count"), ("is_low_battery", "low_battery_count"), ("is_overspeed", "overspeed_count"))
+TELEMETRY_COLUMNS = ("telemetry_points", "avg_altitude_m", "max_altitude_m", "avg_speed_kmh", "max_speed_kmh",
+                     "min_battery_pct", "avg_battery_pct", "anomaly_count", "low_battery_count", "overspeed_count")
+
+
 def telemetry_measures() -> list[Column]:
-    """Aggregates of the hourly telemetry fact, shared by batch and stream."""
-    return [
-        _rows().alias("telemetry_points"),
-        C.fixed_avg("altitude_m", 1).alias("avg_altitude_m"),
-        F.max("altitude_m").alias("max_altitude_m"),
-        C.fixed_avg("speed_kmh", 1).alias("avg_speed_kmh"),
-        F.max("speed_kmh").alias("max_speed_kmh"),
-        F.min("battery_pct").alias("min_battery_pct"),
-        C.fixed_avg("battery_pct", 1).alias("avg_battery_pct"),
-        C.count_if(F.col("has_anomaly")).alias("anomaly_count"),
-        C.count_if(F.col("is_low_battery")).alias("low_battery_count"),
-        C.count_if(F.col("is_overspeed")).alias("overspeed_count"),
-    ]
+    """Aggregates of the hourly telemetry fact."""
+    made = {"telemetry_points": _rows()}
+    made |= {name: C.fixed_avg(source, digits) for source, digits, name in TELEMETRY_AVERAGES}
+    made |= {name: getattr(F, end)(source) for end, source, name in TELEMETRY_EXTREMES}
+    made |= {name: C.count_if(F.col(flag)) for flag, name in TELEMETRY_FLAGS}
+    return [made[name].alias(name) for name in TELEMETRY_COLUMNS]
+
+
+def telemetry_partials() -> list[Column]:
+    """Aggregates of some of an hour's rows, from which `telemetry_totals` makes those of all."""
+    parts = [_rows().alias("telemetry_points")]
+    for source, digits, name in TELEMETRY_AVERAGES:
+        parts += [F.sum(C.fixed_units(source, digits)).alias(f"{name}_sum"), F.count(source).alias(f"{name}_n")]
+    parts += [getattr(F, end)(source).alias(name) for end, source, name in TELEMETRY_EXTREMES]
+    return parts + [C.count_if(F.col(flag)).alias(name) for flag, name in TELEMETRY_FLAGS]
+
+
+def telemetry_totals() -> list[Column]:
+    """Aggregates of the hourly telemetry fact over partial ones, the same to the last bit."""
+    made = {"telemetry_points": F.sum("telemetry_points")}
+    for _, digits, name in TELEMETRY_AVERAGES:
+        made[name] = C.safe_divide(F.sum(f"{name}_sum").cast("double"), F.sum(f"{name}_n") * F.lit(10.0**digits))
+    made |= {name: getattr(F, end)(name) for end, _, name in TELEMETRY_EXTREMES}
+    made |= {name: F.sum(name) for _, name in TELEMETRY_FLAGS}
+    return [made[name].alias(name) for name in TELEMETRY_COLUMNS]
 
 
 def fct_flight_telemetry(silver: Inputs, as_of: dt.datetime) -> DataFrame:

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from parcelwing.functions import columns as C
 from parcelwing.operators import cdc
-from parcelwing.operators.windows import latest_per_key
-from parcelwing.plans.gold import telemetry_measures
+from parcelwing.plans.gold import telemetry_measures, telemetry_partials, telemetry_totals
 
 STREAM, BATCH = "_stream", "_batch"
 
@@ -30,14 +29,17 @@ def _batch_writer(folder: str, stream: str | None = None):
     return write
 
 
+def _stream_name(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def _run(stream: DataFrame, folder: str, checkpoint: str, mode: str) -> None:
     """Process what is available. Batches of different checkpoints never share a folder."""
-    name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
     query = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(_batch_writer(folder, name))
+        .foreachBatch(_batch_writer(folder, _stream_name(checkpoint)))
         .start()
     )
     query.awaitTermination()
@@ -110,9 +112,9 @@ def compact(base: DataFrame, log: str, keys: list[str], path: str, after: int =
 
 
 def hourly_telemetry(flights: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Streaming form of the hourly telemetry fact.
+    """Streaming form of the hourly telemetry fact, for consumers that want each hour once, when it is closed.
 
-    Event time is cast to an instant, because watermarks accept no zone-less
+    Rows that come later than `lateness` are left out. Event time is cast to an instant, because watermarks accept no zone-less
     timestamps; the hour is cast back.
     """
     timed = flights.withColumn("_instant", F.col("recorded_at").cast("timestamp")).withWatermark("_instant", lateness)
@@ -121,15 +123,45 @@ def hourly_telemetry(flights: DataFrame, lateness: str = "1 hour") -> DataFrame:
     return hours.select("aircraft_id", hour, *[c for c in hours.columns if c not in ("aircraft_id", "_w")])
 
 
+def _partial_writer(folder: str, stream: str):
+    write = _batch_writer(folder, stream)
+
+    def partial(rows: DataFrame, batch_id: int) -> None:
+        hour = C.trunc_to("hour", "recorded_at").alias("hour_bucket")
+        write(rows.groupBy("aircraft_id", hour).agg(*telemetry_partials()), batch_id)
+
+    return partial
+
+
 def run_hourly_telemetry(flights: DataFrame, folder: str, checkpoint: str) -> None:
-    """Write the windows that each batch has changed."""
-    _run(hourly_telemetry(flights), folder, checkpoint, "update")
+    """Write partial sums of the hours in each batch.
+
+    Partial sums need no state and no watermark: a row counts whenever it
+    arrives, and a batch that is done again replaces its own sums.
+    """
+    name = _stream_name(checkpoint)
+    query = (flights.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+             .foreachBatch(_partial_writer(folder, name)).start())
+    query.awaitTermination()
 
 
 def read_hourly_telemetry(spark: SparkSession, folder: str) -> DataFrame:
-    """Newest version of every window."""
-    rows = spark.read.parquet(folder).drop(STREAM)
-    return latest_per_key(rows, ["aircraft_id", "hour_bucket"], [BATCH]).drop(BATCH)
+    """The hourly fact from the partial sums of all batches, by fixed-width hash aggregates."""
+    return spark.read.parquet(folder).groupBy("aircraft_id", "hour_bucket").agg(*telemetry_totals())
+
+
+def late_hours(spark: SparkSession, folder: str, hours: int = 1) -> DataFrame:
+    """Points that came after a batch whose newest hour lies more than `hours` later: per hour and batch.
+
+    They are in the fact; whoever has passed its hours on corrects these. Batches
+    are few, so their newest hours are put in order by one window.
+    """
+    rows = spark.read.parquet(folder)
+    newest = rows.groupBy(STREAM, BATCH).agg(F.max("hour_bucket").alias("_newest"))
+    before = Window.partitionBy(STREAM).orderBy(BATCH).rowsBetween(Window.unboundedPreceding, -1)
+    seen = newest.withColumn("_seen", F.max("_newest").over(before)).drop("_newest")
+    late = rows.join(seen, [STREAM, BATCH]).filter(F.col("hour_bucket") < F.col("_seen") - F.expr(f"INTERVAL {hours} HOURS"))
+    return late.groupBy("hour_bucket", F.col(BATCH).alias("batch")).agg(F.sum("telemetry_points").alias("late_points"))
 
 
 def deduplicated(stream: DataFrame, keys: list[str], ts: str, lateness: str = "1 hour") -> DataFrame:

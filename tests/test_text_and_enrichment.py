@@ -54,6 +54,21 @@ def test_parts_named_in_texts(spark):
     assert enrichment.parts_mentioned(logs, parts.limit(0)).count() == 0
 
 
+def test_parts_of_any_script_by_automaton_and_by_first_token(spark):
+    names = ["Étrier", "étrier", "Motor 2212", "motor", "모터", "ножной насос", "насос", "a b", "b a", "ß-plate", "--", None]
+    texts = ["Un étrier, neuf", "ÉTRIER motor 2212 motor", "모터 교체", "ножной насос и насос", "a b a", "motors", "x" * 9000 + " a b", "", None,
+             "ß plate ok", "the café étriers"]
+    logs = spark.createDataFrame([(f"l{k}", t) for k, t in enumerate(texts)] + [("l1", "насос")], "log_id string, description string")
+    parts = spark.createDataFrame([(n,) for n in names], "part_name string")
+    want = {"l0": ["étrier"], "l1": ["motor", "motor 2212", "étrier", "насос"], "l2": ["모터"], "l3": ["насос", "ножной насос"],
+            "l4": ["a b", "b a"], "l6": ["a b"], "l9": ["ß-plate"]}
+    for most in (1 << 20, 0):
+        found = enrichment.parts_mentioned(logs, parts, most)
+        assert {r.log_id: sorted(r.parts) for r in found.collect()} == {k: sorted(v) for k, v in want.items()}
+    plan = enrichment.parts_mentioned(logs, parts)._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode" not in plan
+
+
 def km(a, b, c, d):
     p = math.pi / 180
     h = math.sin((c - a) * p / 2) ** 2 + math.cos(a * p) * math.cos(c * p) * math.sin((d - b) * p / 2) ** 2
@@ -88,6 +103,24 @@ def test_zones_across_the_180th_meridian(spark):
     assert {r.order_id: r.zone_id for r in enrichment.zone_assignment(orders, zones).collect()} == {"a": "z", "b": None}
 
 
+def test_many_zones_on_one_spot(spark):
+    """A pile of zones leaves few candidates; huge and polar zones touch few cells."""
+    rows = [(f"z{k:05d}", 10.0, 20.0, 0.5 + (k * 7919 % 20011) / 5000) for k in range(20_000)]
+    rows += [("globe", 5.0, 5.0, 25_000.0), ("pole", 89.5, 0.0, 120.0), ("dot", 0.0, 0.0, 0.0)]
+    zones = spark.createDataFrame(rows, "zone_id string, center_lat double, center_lon double, radius_km double")
+    assert enrichment.undominated_zones(zones).count() < 40
+    assert enrichment.zone_cells(zones).groupBy("zone_id").count().agg(F.max("count")).first()[0] <= 4
+    points = [("a", 10.0, 20.0), ("b", 10.01, 20.0), ("c", 10.0, 20.044), ("d", -60.0, -170.0), ("e", 89.9, 179.0), ("f", None, 0.0), ("g", 0.0, 0.0)]
+    orders = spark.createDataFrame(points, "order_id string, dropoff_lat double, dropoff_lon double")
+    got = {r.order_id: r.zone_id for r in enrichment.zone_assignment(orders, zones).collect()}
+    want = {"f": None}
+    for o, lat, lon in points:
+        if lat is not None:
+            want[o] = min((round(d, 6), z) for z, a, b, r in rows if (d := km(lat, lon, a, b)) <= r)[1]
+    assert got == want and want["g"] == "dot"
+    assert {r.zone_id for r in enrichment.zone_assignment(orders, zones.limit(0)).collect()} == {None}
+
+
 def test_digest_takes_the_newest_sentences(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [("a", f"l{i}", t + dt.timedelta(days=i), f"Step {i}.1 done") for i in range(5)] + [("a", "l9", t + dt.timedelta(days=4), "Tie. x."), ("b", "m", t, None)]
