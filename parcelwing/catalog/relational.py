@@ -93,9 +93,11 @@ def _left_join_chain(c):
 def _left_join_transitive(c):
     routes = c.raw["routes"].select("route_id", "mission_id")
     missions = c.raw["missions"].select("mission_id", "order_id")
-    routed = joins.left_join(missions, routes, "mission_id", ["route_id"])
+    crowded = joins.crowded_keys(routes, "mission_id")
+    routed = joins.left_join(missions, routes, "mission_id", ["route_id"], crowded=crowded)
     orders = c.raw["orders"].select("order_id")
-    joined = joins.left_join(orders, routed, "order_id", ["mission_id", "route_id"], measured=missions)
+    joined = joins.left_join(orders, routed, "order_id", ["mission_id", "route_id"],
+                             crowded=joins.crowded_keys(routed, "order_id"))
     return joined.select("order_id", "mission_id", "route_id")
 
 

@@ -35,8 +35,9 @@ def number_in_order(
 
     `unit` is the length of a bucket: short enough that the rows of one key in
     one bucket fit a task, no shorter, because the summary grows with it.
-    `attributes` is an optional table with unique `keys`. It is joined inner to
-    the summary rather than to the rows, so a hot key costs it nothing.
+    `attributes` is an optional table, joined inner to the summary rather than to
+    the rows, so a hot key costs it nothing. A key that has several rows there
+    shows each of its rows as often, numbered one after the other.
 
     The rows are grouped by columns that are never null. That lets numbering
     and the final join compare them with plain equality and share one shuffle;
@@ -70,14 +71,20 @@ def number_in_order(
     if attributes is not None:
         extra = [c for c in attributes.columns if c not in keys]
         renamed = attributes.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], *extra)
-        summary = summary.join(renamed, group)
+        of_key = Window.partitionBy(*group)
+        order = comparable(renamed, extra) or [F.lit(0)]
+        repeated = renamed.withColumns({"_copy": F.row_number().over(of_key.orderBy(*order)), "_copies": F.count(F.lit(1)).over(of_key)})
+        summary = summary.join(repeated, group)
+    else:
+        summary = summary.withColumns({"_copy": F.lit(1), "_copies": F.lit(1)})
 
     out = local.join(summary, [*group, "_bucket"])
     columns: list[Column] = [F.col(c) for c in (*df.columns, *extra)]
-    columns.append((F.col("_n") + F.col("_before")).alias(number))
+    place = F.col("_n") + F.col("_before")
+    columns.append(((place - 1) * F.col("_copies") + F.col("_copy")).alias(number))
     if previous:
-        first = F.col("_n") == 1
-        columns.append(F.when(first, F.col("_earlier")).otherwise(F.col("_prev")).alias(previous))
+        last = F.when(F.col("_n") == 1, F.col("_earlier")).otherwise(F.col("_prev"))
+        columns.append(F.when(F.col("_copy") > 1, F.col(ts)).otherwise(last).alias(previous))
     return out.select(*columns)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwing.functions import columns as C
-from parcelwing.operators.joins import left_join
+from parcelwing.operators.joins import HOT_ROWS, crowded_keys, left_join
 
 Inputs = Mapping[str, DataFrame]
 
@@ -87,12 +87,25 @@ def dim_depots(silver: Inputs, as_of: dt.datetime) -> DataFrame:
     )
 
 
+def crowded_parents(bronze: Inputs, hot_rows: int = HOT_ROWS) -> dict[str, dict]:
+    """Parents with very many children in the joins of `fct_deliveries`, counted once when the tables are written."""
+    routes = bronze["routes"].filter(F.col("mission_id").isNotNull()).groupBy("mission_id").agg(_rows().alias("_routes"))
+    flights = bronze["missions"].select("mission_id", "order_id").join(routes, "mission_id", "left")
+    flights = flights.withColumn("_rows_each", F.coalesce("_routes", F.lit(1)))
+    return {
+        "routes of a mission": crowded_keys(bronze["routes"], "mission_id", hot_rows=hot_rows),
+        "flights of an order": crowded_keys(flights, "order_id", "_rows_each", hot_rows),
+        "feedback of an order": crowded_keys(bronze["delivery_feedback"], "order_id", hot_rows=hot_rows),
+    }
+
+
 def fct_deliveries(silver: Inputs, as_of: dt.datetime) -> DataFrame:
     """Order grain; an order with several missions or comments yields several rows.
 
     Routes are attached to missions first, so orders without a mission carry
     no null key into a further join, and both joins of orders use the order id.
-    Each child side may be crowded on one parent, hence `left_join`.
+    Each child side may be crowded on one parent, hence `left_join`; which parents
+    are is known since the tables were written (`crowded_parents`).
     """
     flights = silver["silver_missions"].select(
         "mission_id", "order_id", "aircraft_id", "mission_status", "actual_departure", "actual_arrival",
@@ -109,9 +122,11 @@ def fct_deliveries(silver: Inputs, as_of: dt.datetime) -> DataFrame:
         "feedback_id", "order_id", F.col("rating").alias("feedback_rating"), "sentiment_score", "sentiment_label"
     )
     flights = flights.filter(F.col("order_id").isNotNull())
-    routed = left_join(flights, paths, "mission_id", ["route_id"])
-    flown = left_join(silver["silver_orders"], routed, "order_id", ["mission_id", "route_id"], measured=flights)
-    joined = left_join(flown, opinions, "order_id", ["feedback_id"])
+    crowded = getattr(silver, "crowded", {})
+    routed = left_join(flights, paths, "mission_id", ["route_id"], crowded=crowded.get("routes of a mission", {}))
+    flown = left_join(silver["silver_orders"], routed, "order_id", ["mission_id", "route_id"],
+                      crowded=crowded.get("flights of an order", {}))
+    joined = left_join(flown, opinions, "order_id", ["feedback_id"], crowded=crowded.get("feedback of an order", {}))
     return joined.select(
         "order_id", "customer_id", "mission_id", "aircraft_id", "priority", "order_status", "mission_status",
         "package_weight_kg", "straight_line_distance_km", "route_distance_km", "planned_duration_min",

@@ -55,6 +55,7 @@ class _Touched(Mapping):
 
     def __init__(self, silver_tables: Mapping[str, DataFrame], model: str, touched: DataFrame):
         self.tables, self.touched = silver_tables, touched
+        self.crowded = getattr(silver_tables, "crowded", {})
         self.key, self.columns = KEYED[model]
         self.through = THROUGH.get(model, {})
 
@@ -85,6 +86,8 @@ class IncrementalRefresh:
         self.changes = {name: self._kept(rows, f"changes-{name}") for name, rows in changes.items()}
         self.staged: dict[str, tuple[VersionedTable, Staged, Days | None]] = {}
         self.layers = Layers({}, as_of, load_ts, lexicon)
+        scored = self.before.table("silver", FEEDBACK).version(self.before.versions[f"silver/{FEEDBACK}"])
+        self.layers.silver.crowded = scored.notes.get("crowded", {})
         for name in TABLES:
             self.layers.bronze.replace(name, self.before["bronze", f"bronze_{name}"])
 
@@ -96,7 +99,7 @@ class IncrementalRefresh:
 
     def _stage(self, layer: str, name: str, rows: DataFrame, days: Days | None = None) -> DataFrame:
         table = self.before.table(layer, name)
-        done = table.stage(rows, {"as_of": str(self.as_of)})
+        done = table.stage(rows, {"as_of": str(self.as_of), "crowded": self.layers.silver.crowded})
         self.staged[f"{layer}/{name}"] = (table, done, days)
         return table.read_staged(done)
 

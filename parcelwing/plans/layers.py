@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelwing import rules
 from parcelwing.functions.text import Lexicon
+from parcelwing.operators.joins import HOT_ROWS
 from parcelwing.plans import gold, silver
 from parcelwing.plans.bronze import live, to_bronze
 from parcelwing.sources import tables
@@ -23,6 +24,7 @@ class _Layer(Mapping):
 
     def __init__(self, names, build):
         self._names, self._build, self._built = tuple(names), build, {}
+        self.crowded: dict[str, dict] = {}      # keys with very many rows, where they are known
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._names)
@@ -71,25 +73,29 @@ class Layers:
 
 
 def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, as_of: dt.datetime,
-            load_ts: dt.datetime | None = None, lexicon: Lexicon = rules.SENTIMENT_LEXICON) -> Layers:
+            load_ts: dt.datetime | None = None, lexicon: Lexicon = rules.SENTIMENT_LEXICON,
+            hot_rows: int = HOT_ROWS) -> Layers:
     """Full refresh: write bronze, publish silver views, write gold.
 
     Scored feedback is written once, because two gold tables read the score.
     Each written table cuts the lineage, so a lost executor costs one table's work.
     All tables are staged before the first becomes visible, and a snapshot names
     the versions that belong together: a refresh that ends early changes nothing.
+    Keys with more than `hot_rows` children are counted in the written bronze
+    tables and kept with the scored feedback's version, for this and later joins.
     """
     layers = Layers(raw, as_of, load_ts, lexicon)
     staged: list[tuple[str, tables.VersionedTable, Staged]] = []
 
     def stage(layer: _Layer, folder: str, key: str, name: str) -> None:
         table = tables.stored_table(spark, root, folder, name)
-        done = table.stage(layer[key], {"as_of": str(as_of)})
+        done = table.stage(layer[key], {"as_of": str(as_of), "crowded": layer.crowded})
         layer.replace(key, table.read_staged(done))
         staged.append((f"{folder}/{name}", table, done))
 
     for name in TABLES:
         stage(layers.bronze, "bronze", name, f"bronze_{name}")
+    layers.silver.crowded = gold.crowded_parents(layers.bronze, hot_rows)
     stage(layers.silver, "silver", FEEDBACK, FEEDBACK)
     for name in gold.MODELS:
         stage(layers.gold, "gold", name, name)

@@ -83,3 +83,15 @@ def test_rows_are_shuffled_once(spark):
         assert "Exchange" not in joined
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_repeated_attribute_rows_are_numbered_one_after_the_other(spark):
+    """As if the attributes were joined first and the rows numbered then."""
+    data = [("a", BASE + dt.timedelta(seconds=60 * i), i) for i in (0, 1, 70)] + [("b", BASE, 5)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, id int")
+    attributes = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, size int")
+    got = windows.number_in_order(df, ["k"], "ts", ["id"], number="n", previous="prev", attributes=attributes).collect()
+    a = sorted((r.n, r.ts, r.prev) for r in got if r.k == "a")
+    times = [ts for k, ts, _ in data if k == "a" for _ in range(2)]
+    assert a == [(n, ts, prev) for n, (ts, prev) in enumerate(zip(times, [None, *times]), 1)]
+    assert [(r.n, r.prev) for r in got if r.k == "b"] == [(1, None)]
