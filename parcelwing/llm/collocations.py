@@ -1,12 +1,17 @@
 """Phrases whose words stand together more often than chance: exact counts per language, HAT-tries in the tasks.
 
-Texts become blocks of word numbers once. Counting then goes by phrase length.
-Each task counts into a HAT-trie; the subtrees it spills are sorted runs of
-phrases with counts, which meet by prefix (language and first two words) and are
-added up. A phrase that is frequent has only frequent parts, so the next length
-skips places whose shorter parts are not. A bit table of bounded size carries
-that knowledge to the tasks: it may let a rare phrase pass, never lose a frequent
-one, and a corpus too large for it costs more counting, not results.
+Texts become blocks of word numbers once. Phrases are counted by HAT-tries: each
+task has one a language, and the subtrees it spills are sorted runs of phrases
+with counts, which meet by prefix (language and first two words) and are added up.
+
+Nearly all phrases are rare, and their runs would be several times the texts. So
+places are sifted first, by phrase length: tasks send sorted runs of 48-bit hashes
+with counts, packed to a few bytes each, which meet by prefix and are added up. A
+hash that stays below the least count belongs to rare phrases only; a frequent
+phrase has only frequent parts, so the next length skips places whose shorter
+parts are not. Bit tables of bounded size carry this to the tasks: they may let a
+rare phrase pass, never lose a frequent one, and a corpus too large for them
+costs more counting, not results. What the tries count is exact.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +33,10 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLOCK_BYTES = 4 << 20
 TRIE_KEYS = 1_000_000
 TASK_WORDS = 1_000_000
-GATE_BITS = 1 << 26          # at most 8 MB
+GATE_BITS = 1 << 26          # of a bit table: at most 8 MB a phrase length
+HASH_BITS = 48
+SIFTED = 4_000_000           # hashes that a task holds before it sends them
+MERGED = 2_000_000           # words whose hashes one prefix partition adds up, about
 RUN_ROWS = 50_000
 
 _NORMAL = bytes(10 if b in PIECE_ENDS else 32 if b == 9 else b for b in range(256))
@@ -67,7 +76,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _hashes(lang: str, words: list[bytes], ids: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hash of the `size` words from each place on; only the language and the words decide it."""
+    """48-bit hash of the `size` words from each place on; only the language and the words decide it."""
     seed = xxhash.xxh3_64_intdigest(lang.encode())
     table = np.array([0, *(xxhash.xxh3_64_intdigest(word, seed) for word in words)], np.uint64)
     own, places = table[ids], len(ids) - size + 1
@@ -75,42 +84,138 @@ def _hashes(lang: str, words: list[bytes], ids: np.ndarray, size: int) -> np.nda
     for at in range(size if places > 0 else 0):
         out = (out ^ own[at:at + places]) * _MIX
         out ^= out >> np.uint64(29)
-    return out
+    return out >> np.uint64(64 - HASH_BITS)
 
 
 def _bits(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The two bits of each hash in a table of so many bits, a power of two."""
-    other = hashes * _SPREAD
-    return hashes >> np.uint64(32) & np.uint64(bits - 1), (other ^ other >> np.uint64(33)) & np.uint64(bits - 1)
+    return tuple(hashes * factor >> np.uint64(38) & np.uint64(bits - 1) for factor in (_MIX, _SPREAD))
 
 
-def _marks(bits: int, size: int, batches) -> Iterator[pa.RecordBatch]:
-    """Cells and masks of a bit table for frequent phrases of `size` words."""
+def _packed(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """A sorted run: differences of hashes, and counts, byte plane by byte plane."""
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    planes = np.concatenate([x.astype("<u8").view(np.uint8).reshape(-1, 8).T.ravel() for x in (steps, counts)])
+    return zstandard.compress(planes.tobytes(), 3)
+
+
+def _opened(run: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(run), np.uint8).reshape(2, 8, -1)
+    steps, counts = (np.ascontiguousarray(x.T).view("<u8").ravel() for x in planes)
+    return np.cumsum(steps), counts
+
+
+def _sifted_runs(size: int, hashes: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """Different hashes with their counts, in order, a run for each prefix partition."""
+    found, counts = np.unique(np.concatenate(hashes), return_counts=True)
+    part = (found >> np.uint64(HASH_BITS - 24)) * np.uint64(parts) >> np.uint64(24)
+    names = np.unique(part)
+    at = [*np.searchsorted(part, names), len(part)]
+    runs = [_packed(found[a:b], counts[a:b]) for a, b in zip(at, at[1:])]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names.astype(np.int64)), pa.array([size] * len(runs), pa.int32()), pa.array(runs, pa.binary())],
+        names=["part", "size", "run"])
+
+
+def _sift(sizes: tuple[int, ...], parts: int, gates: dict, batches) -> Iterator[pa.RecordBatch]:
+    """Runs of the hashes of phrases whose parts one word shorter may be frequent (as far as these were sifted)."""
+    held: dict[int, list[np.ndarray]] = {size: [] for size in sizes}
+    number = 0
+    for batch in batches:
+        for lang, words, ids in _opened_blocks(batch):
+            known, passed = _known(gates, lang, words, ids)
+            for size in sizes:
+                places = _places(ids, size, passed, known)
+                held[size].append(_hashes(lang, words, ids, size)[places])
+                number += len(places)
+            if number > SIFTED:
+                yield from (_sifted_runs(size, hashes, parts) for size, hashes in held.items() if hashes)
+                held, number = {size: [] for size in sizes}, 0
+    yield from (_sifted_runs(size, hashes, parts) for size, hashes in held.items() if hashes)
+
+
+def _added(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    hashes, counts = (np.concatenate(x) for x in zip(*runs))
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[order], counts[order]
+    first = np.flatnonzero(np.diff(hashes, prepend=hashes[:1] + np.uint64(1)))
+    return hashes[first], np.add.reduceat(counts, first)
+
+
+def _merge_sifted(least: int, batches) -> Iterator[pa.RecordBatch]:
+    """Hashes counted `least` times or more; the runs of a partition and size come one after another."""
+    current, runs, held = None, [], 0
+
+    def told() -> pa.RecordBatch:
+        hashes, counts = _added(runs)
+        often = hashes[counts >= least].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array([current[1]] * len(often), pa.int32()), pa.array(often)],
+                                          names=["size", "hash"])
+
     for batch in batches:
-        by_lang: dict[str, list[bytes]] = {}
-        for lang, phrase in zip(batch.column("lang").to_pylist(), encoded(batch, "phrase")):
-            by_lang.setdefault(lang, []).extend(phrase.split(b" "))
-        for lang, words in by_lang.items():
-            distinct = sorted(set(words))
-            number = {word: at for at, word in enumerate(distinct, 1)}
-            ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            at = np.concatenate(_bits(_hashes(lang, distinct, ids, size)[::size], bits))
-            masks = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(masks)],
-                                             names=["cell", "mask"])
-
-
-def gate(frequent: DataFrame, size: int) -> np.ndarray:
-    """Bit table of the frequent phrases of `size` words: 16 bits each, 8 MB at most."""
-    rows = frequent.count()
+        for part, size, run in zip(*(batch.column(c).to_pylist() for c in ("part", "size", "run"))):
+            if (part, size) != current:
+                if runs:
+                    yield told()
+                current, runs, held = (part, size), [], 0
+            runs.append(_opened(run))
+            held += len(runs[-1][0])
+            if held > 2 * SIFTED:
+                runs = [_added(runs)]
+                held = len(runs[0][0]) // 2
+    if runs:
+        yield told()
+
+
+def sifted(blocks: DataFrame, sizes: tuple[int, ...], least: int, parts: int, gates: dict) -> DataFrame:
+    """size and hash of what may be a frequent phrase of one of these sizes."""
+    runs = blocks.select("lang", "words", "ids").mapInArrow(
+        partial(_sift, sizes, parts, gates), "part long, size int, run binary")
+    tasks = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts // 4)
+    dealt = runs.repartition(tasks, "part").sortWithinPartitions("part", "size")
+    return stored(dealt.mapInArrow(partial(_merge_sifted, least), "size int, hash long"), "sifted")
+
+
+def _marks(bits: int, batches) -> Iterator[pa.RecordBatch]:
+    """Cells and masks of hashes in a bit table."""
+    for batch in batches:
+        at = np.concatenate(_bits(batch.column("hash").to_numpy().astype(np.uint64), bits))
+        masks = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(masks)],
+                                         names=["cell", "mask"])
+
+
+def gate(hashes: DataFrame) -> np.ndarray:
+    """Bit table of hashes: 16 bits each, 8 MB at most."""
+    rows = hashes.count()
     bits = min(GATE_BITS, 1 << max(16, (16 * rows - 1).bit_length() if rows else 0))
-    marked = frequent.select("lang", "phrase").mapInArrow(partial(_marks, bits, size), "cell long, mask long")
+    marked = hashes.select("hash").mapInArrow(partial(_marks, bits), "cell long, mask long")
     cells = marked.groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()   # bits / 64 rows at most
     table = np.zeros(bits // 64, np.uint64)
     table[cells.column("cell").to_numpy()] = cells.column("mask").to_numpy().view(np.uint64)
     return table
 
 
+def _opened_blocks(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    for lang, data, raw in zip(*(batch.column(c).to_pylist() for c in ("lang", "words", "ids"))):
+        yield lang, data.split(b"\n") if data else [], np.frombuffer(raw, np.int32)
+
+
+def _passed(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether a bit table holds each hash."""
+    a, b = _bits(hashes, len(cells) * 64)
+    held = cells[a >> np.uint64(6)] >> (a & np.uint64(63)) & cells[b >> np.uint64(6)] >> (b & np.uint64(63))
+    return (held & np.uint64(1)).astype(bool)
+
+
+def _known(gates: dict, lang: str, words: list[bytes], ids: np.ndarray) -> tuple[int, np.ndarray | None]:
+    """The longest sifted size, and whether the phrase of that size at each place may be frequent."""
+    if not gates:
+        return 0, None
+    size = max(gates)
+    return size, _passed(gates[size].value, _hashes(lang, words, ids, size))
+
+
 def _places(ids: np.ndarray, size: int, passed: np.ndarray | None, known: int) -> np.ndarray:
     """Places of phrases of `size` words inside a piece, all of whose parts of `known` words passed."""
     room = len(ids) - size + 1
@@ -154,22 +259,16 @@ def _runs(trie: HatTrie, lang: str, names: list[bytes], everything: bool) -> Ite
                 names=["lang", "phrase", "size", "n"])
 
 
-def _count(sizes: tuple[int, ...], table, known: int, batches) -> Iterator[pa.RecordBatch]:
-    """Phrases of these sizes in a task's blocks, from one trie a language."""
+def _count(sizes: tuple[int, ...], gates: dict, batches) -> Iterator[pa.RecordBatch]:
+    """Phrases of these sizes in a task's blocks, from one trie a language; sizes with a gate only where it lets them pass."""
     tries: dict[str, HatTrie] = {}
     numbers: dict[bytes, int] = {}
     for batch in batches:
-        for lang, data, raw in zip(*(batch.column(c).to_pylist() for c in ("lang", "words", "ids"))):
-            words, ids = data.split(b"\n") if data else [], np.frombuffer(raw, np.int32)
-            passed = None
-            if table is not None:
-                cells, bits = table.value, len(table.value) * 64
-                a, b = _bits(_hashes(lang, words, ids, known), bits)
-                passed = (cells[a >> np.uint64(6)] >> (a & np.uint64(63)) & cells[b >> np.uint64(6)] >> (
-                    b & np.uint64(63)) & np.uint64(1)).astype(bool)
+        for lang, words, ids in _opened_blocks(batch):
             trie = tries.setdefault(lang, HatTrie(TRIE_KEYS))
             for size in sizes:
-                places = _places(ids, size, passed, known)
+                passed = _passed(gates[size].value, _hashes(lang, words, ids, size)) if size in gates else None
+                places = _places(ids, size, passed, size)
                 if not len(places):
                     continue
                 here = np.unique(np.concatenate([ids[places + at] for at in range(size)]))
@@ -180,8 +279,7 @@ def _count(sizes: tuple[int, ...], table, known: int, batches) -> Iterator[pa.Re
                 keys = np.stack([mine[places + at] for at in range(size)], axis=1).astype(">u4").tobytes()
                 step = 4 * size
                 trie.add(zip([keys[at:at + step] for at in range(0, len(keys), step)], count.tolist()))
-            full = len(numbers) > TASK_WORDS or sum(t.keys for t in tries.values()) > TRIE_KEYS
-            if full:
+            if len(numbers) > TASK_WORDS or sum(t.keys for t in tries.values()) > TRIE_KEYS:
                 names = list(numbers)
                 for one, held in tries.items():
                     yield from _runs(held, one, names, len(numbers) > TASK_WORDS or held is not trie)
@@ -192,41 +290,40 @@ def _count(sizes: tuple[int, ...], table, known: int, batches) -> Iterator[pa.Re
         yield from _runs(trie, lang, names, True)
 
 
-def counted(blocks: DataFrame, sizes: tuple[int, ...], least: int, shorter: DataFrame | None) -> DataFrame:
+def counted(blocks: DataFrame, sizes: tuple[int, ...], least: int, gates: dict) -> DataFrame:
     """lang, phrase, size and n of all phrases of these sizes found `least` times or more.
 
-    `shorter` are the frequent phrases of the size below the smallest. Runs of all
-    tasks meet by language and first two words, so a common first word is no hot key.
+    Runs of all tasks meet by language and first two words, so a common first
+    word is no hot key.
     """
-    known = sizes[0] - 1
-    context = blocks.sparkSession.sparkContext
-    table = None if shorter is None else context.broadcast(gate(shorter, known))
     runs = blocks.select("lang", "words", "ids").mapInArrow(
-        partial(_count, sizes, table, known), "lang string, phrase string, size int, n long")
+        partial(_count, sizes, gates), "lang string, phrase string, size int, n long")
     prefix = F.xxhash64("lang", F.substring_index("phrase", " ", 2))
     merged = runs.withColumn("prefix", prefix).repartition("prefix").groupBy("prefix", "lang", "phrase", "size").agg(
         F.sum("n").alias("n"))
     return stored(merged.filter(F.col("n") >= least).drop("prefix"), "phrases")
 
 
-def _score(a, n, left, right) -> str:
-    """floor(1000 a n / (l r)) by 38 decimal digits."""
-    wide = "CAST({} AS DECIMAL(38, 0))"
-    return f"(1000 * {wide.format(a)} * {wide.format(n)}) div ({wide.format(left)} * {wide.format(right)})"
-
-
 def phrase_counts(docs: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
     """(lang, n words) and the frequent phrases of 1 to `longest` words of docs(text, lang)."""
     texts = docs.select("text", F.coalesce(F.col("lang"), F.lit("und")).alias("lang"))
     blocks = stored(texts.mapInArrow(_blocks, "lang string, words binary, ids binary, n long"), "blocks")
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    found, frequent = None, None
-    for size in range(1, min(longest, 3) + 1):
-        frequent = counted(blocks, (size,), least, frequent)
-        found = frequent if found is None else found.unionByName(frequent)
-    if longest > 3:
-        found = found.unionByName(counted(blocks, tuple(range(4, longest + 1)), least, frequent))
-    return totals, found
+    context, gates = docs.sparkSession.sparkContext, {}
+    if least > 1:
+        parts = 1 + (blocks.agg(F.sum("n")).first()[0] or 0) // MERGED
+        # the last two sizes in one pass: few places are left by then
+        for sizes in [(size,) for size in range(1, min(longest, 3) + 1)] + [tuple(range(4, longest + 1))]:
+            if sizes:
+                found = sifted(blocks, sizes, least, parts, gates)
+                gates = gates | {size: context.broadcast(gate(found.filter(F.col("size") == size))) for size in sizes}
+    return totals, counted(blocks, tuple(range(1, longest + 1)), least, gates)
+
+
+def _score(a, n, left, right) -> str:
+    """floor(1000 a n / (l r)) by 38 decimal digits."""
+    wide = "CAST({} AS DECIMAL(38, 0))"
+    return f"(1000 * {wide.format(a)} * {wide.format(n)}) div ({wide.format(left)} * {wide.format(right)})"
 
 
 def collocations(docs: DataFrame, longest: int = 5, least: int = 100, top: int = 2000, percent: int = 100) -> DataFrame:

@@ -120,19 +120,37 @@ def test_task_spills(monkeypatch, rows):
     monkeypatch.setattr(K, "TRIE_KEYS", 500)
     monkeypatch.setattr(K, "TASK_WORDS", 700)
     got, rows_out = Counter(), 0
-    for sizes in ((1,), (2,), (3,), (4, 5)):
-        for run in K._count(sizes, None, 0, iter(blocks)):
-            for r in run.to_pylist():
-                got[r["lang"], tuple(r["phrase"].split(" "))] += r["n"]
-                rows_out += 1
+    for run in K._count((1, 2, 3, 4, 5), {}, iter(blocks)):
+        for r in run.to_pylist():
+            got[r["lang"], tuple(r["phrase"].split(" "))] += r["n"]
+            rows_out += 1
     assert got == phrases(docs, 5)[0] and rows_out > len(got)
+    # hashes of a task with little room: the same sums from more runs
+    monkeypatch.setattr(K, "SIFTED", 900)
+    runs = sorted((r for size in (1, 3) for b in K._sift((size,), 7, {}, iter(blocks)) for r in b.to_pylist()),
+                  key=lambda r: (r["part"], r["size"]))
+    often = list(K._merge_sifted(3, iter([pa.RecordBatch.from_pylist(runs)])))
+    for size in (1, 3):
+        want = set()
+        for lang, words in (k for k, n in phrases(docs, 3)[0].items() if n >= 3 and len(k[1]) == size):
+            held = [w.encode() for w in words]
+            distinct = sorted(set(held))
+            want.add(int(K._hashes(lang, distinct, np.array([distinct.index(w) + 1 for w in held]), size)[0]))
+        assert {r["hash"] for b in often for r in b.to_pylist() if r["size"] == size} == want
+
+
+def test_packed_runs():
+    random = np.random.default_rng(1)
+    for n in (1, 2, 1000):
+        hashes = np.unique(random.integers(0, 1 << K.HASH_BITS, n, dtype=np.uint64))
+        counts = random.integers(1, 1 << 40, len(hashes)).astype(np.uint64)
+        got = K._opened(K._packed(hashes, counts))
+        assert (got[0] == hashes).all() and (got[1] == counts).all()
 
 
 def test_gate_never_loses(spark):
-    words = [f"w{i}" for i in range(300)]
-    pairs = [("en", f"{a} {b}") for a, b in zip(words, words[1:])]
-    table = K.gate(spark.createDataFrame(pairs, "lang string, phrase string"), 2)
-    ids = np.arange(1, 301)
-    a, b = K._bits(K._hashes("en", [w.encode() for w in words], ids, 2), len(table) * 64)
-    passed = table[a >> np.uint64(6)] >> (a & np.uint64(63)) & table[b >> np.uint64(6)] >> (b & np.uint64(63)) & np.uint64(1)
-    assert len(a) == 299 and passed.all()
+    ids, words = np.arange(1, 301), [f"w{i}".encode() for i in range(300)]
+    hashes = K._hashes("en", words, ids, 2)
+    assert len(set(hashes.tolist())) == 299 and hashes.max() < 1 << K.HASH_BITS
+    table = K.gate(spark.createDataFrame([(int(h),) for h in hashes], "hash long"))
+    assert K._passed(table, hashes).all() and K._passed(table, K._hashes("de", words, ids, 2)).mean() < 0.1
