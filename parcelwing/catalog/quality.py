@@ -103,12 +103,18 @@ SUMMARY = _union([
     f"SELECT 'sentiment' AS check_group, 'sentiment label valid' AS check_name, {_INVALID} AS observed, "
     f"{_ZERO} AS expected, {_status(f'{_INVALID} = 0')} FROM silver_delivery_feedback",
 ])
-query("validation_summary", SUMMARY)(lambda c: V.validation_summary(c.layers))
 
 
 _LAYERS = {
     "bronze": [f"raw_{t}" for t in TABLES], "silver": list(silver.MODELS), "gold": list(gold.MODELS),
 }
+SUMMARY += " UNION ALL " + _union(
+    f"SELECT 'inventory' AS check_group, '{layer}' AS check_name, count(*) AS observed, CAST({V.LAYER_SIZES[layer]} AS BIGINT) AS expected, "
+    f"{_status(f'count(*) = {V.LAYER_SIZES[layer]}')} FROM ({_union(f'SELECT count(*) AS n FROM {name}' for name in names)})"
+    for layer, names in _LAYERS.items())
+query("validation_summary", SUMMARY)(lambda c: V.validation_summary(c.layers))
+
+
 _INVENTORY = _union(
     f"SELECT '{layer}' AS layer, count(*) AS relations, CAST(sum(n) AS BIGINT) AS total_rows FROM "
     f"({_union(f'SELECT count(*) AS n FROM {name}' for name in names)})" for layer, names in _LAYERS.items())

@@ -12,7 +12,7 @@ _ROUTED = "(SELECT * FROM fct_deliveries WHERE route_distance_km IS NOT NULL)"
 
 
 def _mean(expr: str) -> str:
-    return rnd(favg(expr, 7), 5)
+    return favg(expr, 7)
 
 
 def _is(column: str, value: str) -> str:
@@ -35,6 +35,9 @@ report("ops_overview",
        "FROM kpi_delivery_performance) "
        "ORDER BY report_date DESC LIMIT 1",
        lambda c: R.ops_overview(c.gold))
+report("ops_trend",
+       "SELECT report_date, total_orders, delivery_success_rate_pct, avg_customer_rating, active_aircraft FROM kpi_delivery_performance",
+       lambda c: R.ops_trend(c.gold))
 _NA = "coalesce(CAST({} AS VARCHAR), 'N/A')".format
 report("daily_brief_text",
        "SELECT 'Date=' || strftime(report_date, '%Y-%m-%d') || ' Orders=' || total_orders || ' Delivered=' || delivered_orders "

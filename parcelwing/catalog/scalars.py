@@ -129,9 +129,13 @@ scalar("array_literal_index", "orders", "o_orderkey",
        lambda: {"channel": C.element_or_null(F.array(*[F.lit(x) for x in ("APP", "EMAIL", "SMS", "WEB", "PHONE")]),
                                              (F.col("o_orderkey") % 7).cast("int"))})
 
-# --- values that differ by engine or run ------------------------------------
-scalar("abs_hash", "orders", "o_orderkey", None,
-       lambda: {"hashed": C.positive_hash("o_orderkey"), "slot": C.positive_hash("o_orderkey") % 15})
-scalar("uuid_", "orders", "o_orderkey", None, lambda: {"row_uuid": F.uuid()})
-scalar("now_", "orders", "o_orderkey", None,
-       lambda: {"load_ts": F.current_timestamp().cast("timestamp_ntz"), "load_day": F.current_date()})
+# --- values that differ by engine or run: their properties -------------------
+_HASHED, _AGAIN = C.positive_hash("o_orderkey"), C.positive_hash(F.col("o_orderkey").cast("int").cast("bigint"))
+scalar("abs_hash", "orders", "o_orderkey", "TRUE AS not_negative, TRUE AS in_slots, TRUE AS repeatable",
+       lambda: {"not_negative": _HASHED >= 0, "in_slots": (_HASHED % 15).between(0, 14), "repeatable": _HASHED == _AGAIN})
+scalar("uuid_", "orders", "o_orderkey", "TRUE AS is_uuid, TRUE AS is_version_4",
+       lambda: {"is_uuid": F.uuid().rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"),
+                "is_version_4": F.substring(F.uuid(), 15, 1) == "4"})
+scalar("now_", "orders", "o_orderkey", "TRUE AS is_later, TRUE AS same_day",
+       lambda: {"is_later": F.current_timestamp().cast("timestamp_ntz") > F.col("o_orderdate").cast("timestamp_ntz"),
+                "same_day": F.to_date(F.current_timestamp()) == F.current_date()})

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from parcelwing.catalog.domain_sql import LOAD_TS
 from parcelwing.catalog.registry import query
 from parcelwing.session import scratch
-from parcelwing.sources import tables
+from parcelwing.sources import ingest, tables
 from parcelwing.sources.adapter import SOURCE_SCHEMAS
 
 # fixed values: short names of the order states in the test data
@@ -66,3 +68,25 @@ def _gold_read(c):
     tables.publish_table(c.gold["fct_flight_telemetry"], root, "gold", "fct_flight_telemetry")
     back = tables.read_gold(c.spark, "fct_flight_telemetry", root)
     return back.select("aircraft_id", "hour_bucket", "telemetry_points", "max_speed_kmh")
+
+
+@query("gold_read_days", "SELECT aircraft_id, hour_bucket, telemetry_points FROM fct_flight_telemetry "
+                         "WHERE hour_bucket >= TIMESTAMP '2024-01-05' AND hour_bucket < TIMESTAMP '2024-01-12'")
+def _gold_read_days(c):
+    """A week of the telemetry fact: only the folders of these days are opened."""
+    root = scratch(c.spark, "gold")
+    tables.publish_table(c.gold["fct_flight_telemetry"], root, "gold", "fct_flight_telemetry")
+    week = tables.read_gold(c.spark, "fct_flight_telemetry", root, dt.date(2024, 1, 5), dt.date(2024, 1, 11))
+    return week.select("aircraft_id", "hour_bucket", "telemetry_points")
+
+
+@query("raw_ingest", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, TRUE AS from_file FROM orders")
+def _raw_ingest(c):
+    """Text files that land as they are, read by the declared types: rows that do not fit are set aside."""
+    landed, kinds = scratch(c.spark, "landed"), "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
+    names = [kind.split()[0] for kind in kinds.split(", ")]
+    rows = c.table("orders").select([F.col(n).cast("string") for n in names])
+    spoilt = rows.filter(F.col("o_orderkey").cast("bigint") % 50 == 0).withColumn("o_totalprice", F.lit("not a number"))
+    rows.unionByName(spoilt).write.csv(landed)
+    good, _ = ingest.read_landed(c.spark, landed, kinds, "csv")
+    return good.select(*names, F.col(ingest.SOURCE_FILE).contains("landed").alias("from_file"))

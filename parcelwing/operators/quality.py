@@ -114,7 +114,7 @@ class Finding(NamedTuple):
 
     group: str
     name: str
-    observed: tuple[str, str]
+    observed: tuple[str, str] | int
     expected: tuple[str, str] | int
     status: Callable[[Column, Column], Column]
 

@@ -73,11 +73,12 @@ def assign_round_robin(df: DataFrame, key: str, members: DataFrame, member_key:
 
     Members are ranked here by `member_key`, a unique integer, so gaps in it
     leave no row without a member. The computed key is materialised so that the
-    join is an ordinary equi join.
+    join is an ordinary equi join. A row without a key, or without any members to
+    choose from, stays and gets none.
     """
     total = members.agg(F.count(F.lit(1)).alias("n")).scalar()
     slots = number_globally(members, member_key, 1_000_000, "_slot").select("_slot", *member_cols)
-    return df.withColumn("_slot", F.pmod(F.col(key), total)).join(slots, "_slot").drop("_slot")
+    return df.withColumn("_slot", F.pmod(F.col(key), total)).join(slots, "_slot", "left").drop("_slot")
 
 
 def waypoint_rows(routes: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ def _rows() -> Column:
 
 
 def _mean(column: str) -> Column:
-    """Mean of an arbitrary measure to five decimals, independent of row order."""
-    return C.round_half_up(C.fixed_avg(column, 7), 5)
+    """Mean of a measure taken to seven decimals, independent of row order; a report rounds it once."""
+    return C.fixed_avg(column, 7)
 
 
 def latest_and_previous(df: DataFrame, ts: str, measures: list[str]) -> DataFrame:
@@ -50,6 +50,13 @@ def ops_overview(gold: Gold, start: dt.date | None = None, end: dt.date | None =
     return pair.orderBy(F.desc("report_date")).limit(1).select("report_date", *shown, "total_orders_delta")
 
 
+def ops_trend(gold: Gold, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Daily series behind the overview's figures; a day without a rating has none."""
+    days = filters.between_days(gold["kpi_delivery_performance"], "report_date", start, end)
+    return days.select("report_date", "total_orders", "delivery_success_rate_pct", "avg_customer_rating",
+                       "active_aircraft").orderBy("report_date")
+
+
 def daily_brief_text(gold: Gold) -> DataFrame:
     """Newest KPI row as one line of text; missing averages read N/A."""
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from parcelwing import rules
 from parcelwing.functions import columns as C
 from parcelwing.operators import quality as Q
 from parcelwing.plans.layers import Layers
+from parcelwing.session import scratch
 from parcelwing.sources.schemas import TABLES
 
 # --- fixed values: what is checked ------------------------------------------
@@ -90,6 +93,7 @@ FLOWS = (
     ("maintenance_logs", "fct_maintenance"),
 )
 POPULATED_PCT = 95
+PARALLEL_JOBS = 4
 LAYER_SIZES = {"bronze": len(TABLES), "silver": 17, "gold": 8}
 
 
@@ -132,16 +136,16 @@ def check_not_null(layers: Layers) -> DataFrame:
     return _required(layers.silver, SILVER_REQUIRED)
 
 
-def _references(layers: Layers) -> list[DataFrame]:
+def _references_among(silver: Mapping[str, DataFrame]) -> list[DataFrame]:
     return [
-        Q.check_orphans(reference_name(child, column, parent), layers.silver[f"silver_{child}"], column,
-                        layers.silver[f"silver_{parent}"], TABLES[parent].key)
+        Q.check_orphans(reference_name(child, column, parent), silver[f"silver_{child}"], column,
+                        silver[f"silver_{parent}"], TABLES[parent].key)
         for child, column, parent in CHECKED_REFERENCES
     ]
 
 
 def check_foreign_key(layers: Layers) -> DataFrame:
-    return Q.stacked(_references(layers))
+    return Q.stacked(_references_among(layers.silver))
 
 
 def _range_specs() -> list[Q.RuleSpec]:
@@ -240,11 +244,51 @@ def _rules() -> list[tuple[str, Q.RuleSpec]]:
     return found
 
 
+class _Pass:
+    """One run over a model: its figures are observed while its keys are written."""
+
+    def __init__(self, df: DataFrame, model: str, figures: dict[str, Column], columns: list[str], folder: str):
+        self.model, self.names = model, list(figures)
+        self.seen, self.path = Observation(), f"{folder}/{model}"
+        observed = df.observe(self.seen, *[c.cast("bigint").alias(f"f{i}") for i, c in enumerate(figures.values())])
+        self.keys = observed.select(*columns)
+
+    def run(self) -> None:
+        self.keys.write.parquet(self.path)
+
+    def stored(self) -> DataFrame:
+        return self.keys.sparkSession.read.schema(self.keys.schema).parquet(self.path)
+
+    def figures(self) -> list[tuple[str, str, int]]:
+        got = self.seen.get
+        return [(self.model, name, got[f"f{i}"]) for i, name in enumerate(self.names)]
+
+
+def _watched(layers: Layers) -> tuple[Layers, dict[str, Observation]]:
+    """The same layers, with rows of raw and bronze counted as they pass to silver."""
+    rows, seen = F.count(F.lit(1)).alias("rows"), {}
+    raw = {}
+    for name in TABLES:
+        seen[f"raw_{name}"], seen[f"bronze_{name}"] = Observation(), Observation()
+        raw[name] = layers.raw[name].observe(seen[f"raw_{name}"], rows)
+    watched = Layers(raw, layers.as_of, layers.load_ts, layers.lexicon)
+    for name in TABLES:
+        watched.bronze.replace(name, watched.bronze[name].observe(seen[f"bronze_{name}"], rows))
+    return watched, seen
+
+
+def _run_all(passes: list[_Pass]) -> None:
+    """Small jobs side by side: none of them fills the cluster alone."""
+    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+        list(pool.map(_Pass.run, passes))
+
+
 def validation_summary(layers: Layers) -> DataFrame:
     """Every check as (check_group, check_name, observed, expected, status).
 
-    Each table is read once: its row count, distinct keys and rule violations
-    come from one aggregate, and the checks are judged from those figures.
+    Each model is derived once. Counts and rule violations are observed while its
+    keys are written; what needs a shuffle, distinct keys and orphans, reads the
+    written keys alone. The checks are judged from these figures.
     """
     rows = F.count(F.lit(1))
     keys = {m: (k,) for m, k in SILVER_KEYS.items()} | dict(GOLD_KEYS)
@@ -255,23 +299,32 @@ def validation_summary(layers: Layers) -> DataFrame:
         "labelled": C.count_if(label.isin(*rules.SENTIMENT_LABELS)),
         "mislabelled": C.count_if(~label.isin(*rules.SENTIMENT_LABELS)),
     }
-
-    parts = [Q.profile(layers.raw[n], f"raw_{n}", {"rows": rows}) for n in TABLES]
-    parts += [Q.profile(layers.bronze[n], f"bronze_{n}", {"rows": rows}) for n in TABLES]
+    watched, seen = _watched(layers)
+    any_table = layers.raw[next(iter(TABLES))]
+    folder = scratch(any_table.sparkSession, "keys")
+    passes: dict[str, _Pass] = {}
     for model, columns in keys.items():
-        figures = {"rows": rows, "keys": F.countDistinct(*columns)}
+        figures = {"rows": rows}
         for group, spec in rule_list:
             if spec.model == model:
                 figures[f"{group}:{spec.name}"] = C.count_if(spec.violation)
         if model == "silver_delivery_feedback":
             figures |= scored
-        source = layers.silver if model in layers.silver else layers.gold
-        parts.append(Q.profile(source[model], model, figures))
+        parents = [c for child, c, _ in CHECKED_REFERENCES if f"silver_{child}" == model]
+        source = watched.silver if model in layers.silver else layers.gold
+        passes[model] = _Pass(source[model], model, figures, list(dict.fromkeys([*columns, *parents])), folder)
+    _run_all(list(passes.values()))
+
+    found = [(table, "rows", one.get["rows"]) for table, one in seen.items()]
+    found += [figure for one in passes.values() for figure in one.figures()]
+    held = {model: one.stored() for model, one in passes.items()}
+    parts = [any_table.sparkSession.createDataFrame(found, "table string, figure string, value long")]
+    parts += [Q.profile(held[m], m, {"keys": F.countDistinct(*columns)}) for m, columns in keys.items()]
     parts += [
-        check.select(F.col("relationship").alias("table"), F.lit("orphans").alias("figure"),
-                     F.col("orphan_count").alias("value"))
-        for check in _references(layers)
+        check.select(F.col("relationship").alias("table"), F.lit("orphans").alias("figure"), F.col("orphan_count").alias("value"))
+        for check in _references_among(held)
     ]
+    relations = {"bronze": len(layers.bronze), "silver": len(layers.silver), "gold": len(layers.gold)}
 
     findings = [Q.Finding("row count", n, (f"bronze_{n}", "rows"), (f"raw_{n}", "rows"), _same()) for n in TABLES]
     findings += [
@@ -287,4 +340,5 @@ def validation_summary(layers: Layers) -> DataFrame:
                   lambda o, e: Q.verdict(C.safe_divide(o * 100.0, e) >= POPULATED_PCT)),
         Q.Finding("sentiment", "sentiment label valid", (feedback, "mislabelled"), 0, _same()),
     ]
+    findings += [Q.Finding("inventory", layer, n, LAYER_SIZES[layer], _same()) for layer, n in relations.items()]
     return Q.report(Q.stacked(parts), findings)

@@ -111,6 +111,18 @@ TEXT_CATEGORIES = {
 }
 TEXT_CATEGORY_DEFAULT = "OTHER"
 
+# --- fixed values: categories of customer feedback and of mission events -------
+FEEDBACK_CATEGORIES = {
+    "SPEED": ("delayed", "fast", "late", "quick", "slow", "waiting"),
+    "CONDITION": ("broken", "crashed", "damaged", "dented", "wet"),
+    "SERVICE": ("helpful", "rude", "staff", "support"),
+}
+EVENT_CATEGORIES = {
+    "WEATHER": ("fog", "storm", "wind"),
+    "TECHNICAL": ("battery", "failure", "fault", "signal"),
+    "ROUTE": ("arrived", "departed", "launched", "reported", "returned"),
+}
+
 # --- fixed values: inventory risk -------------------------------------------
 USAGE_WINDOW_DAYS = 90
 RISK_TIERS = Tiers("<=", ((0, "CRITICAL"), (30, "HIGH"), (90, "MEDIUM")), "LOW")
