@@ -103,21 +103,24 @@ def number_globally(df: DataFrame, key: str, width: int, name: str = "rank") ->
     return ranked.select(*df.columns, (F.col("_n") + F.col("_before") - 1).alias(name))
 
 
-def comparable(df: DataFrame, columns: list[str]) -> list[Column]:
+def comparable(df: DataFrame, columns: list[str], named: bool = True) -> list[Column]:
     """The columns in a form that has an order: variants as their JSON text."""
-    return [F.to_json(df[c]).alias(c) if isinstance(df.schema[c].dataType, VariantType) else df[c] for c in columns]
+
+    def form(name: str) -> Column:
+        if not isinstance(df.schema[name].dataType, VariantType):
+            return df[name]
+        return F.to_json(df[name]).alias(name) if named else F.to_json(df[name])
+
+    return [form(name) for name in columns]
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one that comes last by `order`, then by all other columns.
 
-    An aggregate instead of a window: map-side combining reduces a hot key to
-    one row per task before the shuffle.
+    Spark applies the limit of one row before the shuffle as well, so a hot key
+    sends one row per task; rows are sorted, never packed into aggregates.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    if any(isinstance(df.schema[c].dataType, VariantType) for c in rest):
-        values = F.struct(*order, *rest)
-        newest = F.max_by(values, F.struct(*order, *comparable(df, rest))).alias("_newest")
-    else:
-        newest = F.max(F.struct(*order, *rest)).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*df.columns)
+    last = [F.desc(c) for c in order] + [c.desc() for c in comparable(df, rest, named=False)]
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*(last or [F.lit(0)])))
+    return df.withColumn("_place", number).filter("_place = 1").drop("_place")

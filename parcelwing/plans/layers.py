@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelwing import rules
 from parcelwing.functions.text import Lexicon
 from parcelwing.operators.joins import HOT_ROWS
+from parcelwing.operators.windows import latest_per_key
 from parcelwing.plans import gold, silver
 from parcelwing.plans.bronze import live, to_bronze
 from parcelwing.sources import tables
@@ -51,14 +52,19 @@ class Layers:
         as_of: dt.datetime,
         load_ts: dt.datetime | None = None,
         lexicon: Lexicon = rules.SENTIMENT_LEXICON,
+        newest: Collection[str] = (),
     ):
+        """`newest` names the tables of which silver sees one row per key: the one loaded last."""
         self.raw, self.as_of = raw, as_of
         self.load_ts, self.lexicon = load_ts, lexicon
         self.bronze = _Layer(TABLES, lambda n: to_bronze(raw[n], n, load_ts))
-        self.live = _Layer(TABLES, lambda n: live(self.bronze[n]))
+        self.live = _Layer(TABLES, lambda n: self._once(n) if n in newest else live(self.bronze[n]))
         self.silver = _Layer(silver.MODELS, self._silver)
         self.gold = _Layer(gold.MODELS, self._gold)
 
+    def _once(self, name: str) -> DataFrame:
+        return latest_per_key(live(self.bronze[name]), [TABLES[name].key], ["_loaded_at"])
+
     def _silver(self, name: str) -> DataFrame:
         if name == FEEDBACK:
             return silver.delivery_feedback(self.live, self.as_of, self.lexicon)

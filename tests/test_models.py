@@ -5,8 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from parcelwing.operators import summaries
 from parcelwing.plans import gold, silver
 from parcelwing.plans.bronze import to_bronze
+from parcelwing.plans.layers import Layers
+from parcelwing.sources import adapter
 from parcelwing.sources.schemas import TABLES, source_tag
 
 AS_OF = dt.datetime(2024, 1, 31)
@@ -140,3 +143,37 @@ def test_kpi_agrees_with_the_one_step_aggregate(context):
                                    F.countDistinct("aircraft_id").alias("active_aircraft"))
     kpi = gold.kpi_delivery_performance({"fct_deliveries": facts}, AS_OF).select(plain.columns)
     assert kpi.exceptAll(plain).isEmpty() and plain.exceptAll(kpi).isEmpty()
+
+
+def test_silver_may_see_only_the_row_loaded_last(spark, context):
+    """Every table with all its rows loaded twice, the second time changed: silver has one row a key, the later."""
+    raw = {name: context.raw[name] for name in TABLES}
+    layers = Layers(raw, adapter.AS_OF, adapter.LOAD_TS, adapter.TEST_LEXICON, newest=tuple(TABLES))
+    for name, table in TABLES.items():
+        later = layers.bronze[name].withColumn("_loaded_at", F.col("_loaded_at") + F.expr("interval 1 day"))
+        changed = later.withColumn("_dbt_loaded_at", later["_loaded_at"])
+        layers.bronze.replace(name, layers.bronze[name].unionByName(changed))
+        once = layers.live[name]
+        assert once.count() == context.bronze[name].select(table.key).distinct().count(), name
+        assert once.filter(F.col("_loaded_at") != F.col("_dbt_loaded_at")).isEmpty()
+    assert layers.silver["silver_orders"].count() == context.silver["silver_orders"].count()
+    plan = layers.live["orders"]._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "SortAggregate" not in plan
+
+
+def test_median_of_crowded_keys(spark):
+    """Ties, even and odd counts, nulls, a null key, and a key with very many values."""
+    import statistics
+
+    rows = [("a", 1.0), ("a", 2.0), ("b", 5.0), ("c", None), (None, 7.0), (None, 9.0), (None, 9.0)]
+    rows += [("hot", float((k * 7919) % 30011) ** 2) for k in range(30_011)] + [("tied", 3.0)] * 500 + [("tied", 4.0)] * 500
+    got = summaries.median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m")
+    held = {}
+    for k, v in rows:
+        if v is not None:
+            held.setdefault(k, []).append(v)
+    assert {r.k: r.m for r in got.collect()} == {k: statistics.median(v) for k, v in held.items()}
+    crowd = spark.range(10_000_000).selectExpr("id % 2 AS k", "cast(id * 48271 % 2147483647 AS double) AS v")
+    middle = {r.k: r.m for r in summaries.median(crowd, ["k"], "v", "m").collect()}
+    exact = crowd.groupBy("k").agg(F.percentile("v", F.lit(0.5)).alias("m"))
+    assert middle == {r.k: r.m for r in exact.collect()}
