@@ -130,9 +130,12 @@ scalar("array_literal_index", "orders", "o_orderkey",
                                              (F.col("o_orderkey") % 7).cast("int"))})
 
 # --- values that differ by engine or run: their properties -------------------
-_HASHED, _AGAIN = C.positive_hash("o_orderkey"), C.positive_hash(F.col("o_orderkey").cast("int").cast("bigint"))
-scalar("abs_hash", "orders", "o_orderkey", "TRUE AS not_negative, TRUE AS in_slots, TRUE AS repeatable",
-       lambda: {"not_negative": _HASHED >= 0, "in_slots": (_HASHED % 15).between(0, 14), "repeatable": _HASHED == _AGAIN})
+def _hash_properties() -> dict:
+    hashed, again = C.positive_hash("o_orderkey"), C.positive_hash(F.col("o_orderkey").cast("int").cast("bigint"))
+    return {"not_negative": hashed >= 0, "in_slots": (hashed % 15).between(0, 14), "repeatable": hashed == again}
+
+
+scalar("abs_hash", "orders", "o_orderkey", "TRUE AS not_negative, TRUE AS in_slots, TRUE AS repeatable", _hash_properties)
 scalar("uuid_", "orders", "o_orderkey", "TRUE AS is_uuid, TRUE AS is_version_4",
        lambda: {"is_uuid": F.uuid().rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"),
                 "is_version_4": F.substring(F.uuid(), 15, 1) == "4"})
