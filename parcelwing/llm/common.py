@@ -8,7 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelwing.session import scratch
@@ -63,6 +63,23 @@ def plain(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def set_apart(docs: DataFrame, results: tuple[str, ...]) -> tuple[list[Column], list[Column]]:
+    """The columns of docs that an operator passes on, and the same under their own names again at its end.
+
+    An operator's own columns start with a line; columns of docs that do so too
+    travel under other names. Those named like a result are left out.
+    """
+    passed, named = [], []
+    for number, name in enumerate(c for c in docs.columns if c not in results):
+        other = f"passed{number}"
+        while other in docs.columns:
+            other += "x"
+        travelling = other if name.startswith("_") else name
+        passed.append(F.col(plain(name)).alias(travelling))
+        named.append(F.col(plain(travelling)).alias(name))
+    return passed, named
+
+
 def bounded(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a text column holds about most_bytes at most; one long text still makes one batch."""
     for batch in batches:

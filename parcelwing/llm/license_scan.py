@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcelwing.llm.common import plain, text_key
+from parcelwing.llm.common import set_apart, text_key
 from parcelwing.llm.line_rules import LOWER, UPPER
 
 # fixed values: phrases and labels of the base rule
@@ -126,8 +126,8 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None =
     like a result are replaced.
     """
     results = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    kept = [plain(c) for c in docs.columns if c not in results]
-    prepared = docs.select(*kept, F.coalesce("text", F.lit("")).alias("_text")).withColumn("_key", text_key("_text"))
+    passed, named = set_apart(docs, results)
+    prepared = docs.select(*passed, F.coalesce("text", F.lit("")).alias("_text")).withColumn("_key", text_key("_text"))
     worded = prepared.withColumn("_words", scan_words(F.col("_text")))
     spans = verified_spans(worded.select("_key", "_words"), templates or TEMPLATES)
     found = spans.groupBy("_key").agg(F.collect_set("label").alias("_more"), F.max("cover").alias("_cover"))
@@ -143,7 +143,7 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None =
     based = based.withColumn("_starts", F.when(F.col("n_base") > 0, starts)).drop("_words", "_spaced", "_text")
     joined = based.join(found, "_key", "left")
     return joined.select(
-        *kept, "n_words", "n_base", F.array_min("_starts").cast("long").alias("first_word"),
+        *named, "n_words", "n_base", F.array_min("_starts").cast("long").alias("first_word"),
         F.array_max("_starts").cast("long").alias("last_word"), F.array_join("_base", ",").alias("base_labels"),
         F.array_join(F.sort_array(F.array_union("_base", F.coalesce("_more", F.array().cast("array<string>")))),
                      ",").alias("labels"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwing.llm.common import plain, text_key
+from parcelwing.llm.common import plain, set_apart, text_key
 
 BLANKS = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
@@ -132,8 +132,8 @@ def line_rules(docs: DataFrame, host: str = "source") -> DataFrame:
     except those named like a result, which are replaced.
     """
     results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text")
-    others = [F.col(plain(c)) for c in docs.columns if c not in results]
-    prepared = docs.select(*others, F.col("text").alias("_text"), text_key().alias("_key"), F.concat(
+    passed, named = set_apart(docs, results)
+    prepared = docs.select(*passed, F.col("text").alias("_text"), text_key().alias("_key"), F.concat(
         F.when(F.col(plain(host)).isNull(), F.lit("0")).otherwise(F.lit("1")),
         F.coalesce(F.col(plain(host)).cast("string"), F.lit(""))).alias("_host"))
     frequent = frequent_lines(prepared.select("_text", "_key", "_host"))
@@ -141,4 +141,4 @@ def line_rules(docs: DataFrame, host: str = "source") -> DataFrame:
     judged = figures.join(frequent, ["_host", "_key"], "left")
     verdict = ~F.col("base_failed") & ~F.coalesce("_lost", F.lit(False))
     return judged.withColumns({"kept": verdict, "clean_text": clean_text()}).select(
-        *[plain(c) for c in docs.columns if c not in results], *results)
+        *named, *results)

@@ -32,6 +32,18 @@ def test_license_scan(edges, nothing):
     assert license_scan.license_scan(nothing).count() == 0
 
 
+@pytest.mark.parametrize("operator", [line_rules.line_rules, license_scan.license_scan])
+def test_columns_named_like_helpers(edges, operator):
+    """Extra columns of any name keep their values and change no result."""
+    names = ["_text", "_key", "_host", "_words", "_cut", "_lost", "_n0", "_starts", "_base", "passed0", "_a`b"]
+    clashing = edges.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in names})
+    got, want = operator(clashing), operator(edges)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    for name in names:
+        held = "`" + name.replace("`", "``") + "`"
+        assert {r[0] for r in got.select(held).collect()} == {r[0] for r in clashing.select(held).collect()}
+
+
 def test_jaccard(edges, nothing):
     got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(edges, 3, 90).collect()}
     assert got[2] == 1 and got[3] == 3 and got[5] == 5 and got[7] == 7 and got[None] is None
