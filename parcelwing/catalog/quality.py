@@ -44,10 +44,15 @@ def _count(name: str) -> str:
     return f"(SELECT count(*) FROM {name})"
 
 
+def _kept(table: str) -> str:
+    """Rows that bronze holds: all of the raw table, whether they have a key or not."""
+    return f"(SELECT count(*) FILTER (WHERE {TABLES[table].key} IS NULL) + count({TABLES[table].key}) FROM raw_{table})"
+
+
 SQL = {
     "check_row_count_match": _union(
-        f"SELECT '{t}' AS entity, {_count(f'raw_{t}')} AS source_count, {_count(f'raw_{t}')} AS bronze_count, 'PASS' AS status"
-        for t in TABLES),
+        f"SELECT '{t}' AS entity, {_count(f'raw_{t}')} AS source_count, {_kept(t)} AS bronze_count, "
+        f"{_status(f'{_count(f'raw_{t}')} = {_kept(t)}')}" for t in TABLES),
     "check_pk_unique": _keys((m, (k,)) for m, k in V.SILVER_KEYS.items()),
     "check_not_null": _required(V.SILVER_REQUIRED),
     "check_foreign_key": _union(
@@ -131,7 +136,8 @@ def _inventory(c):
     return tables.layer_inventory(c.spark, "fleet_")
 
 
+_EXPECTED = " ".join(f"WHEN '{layer}' THEN {size}" for layer, size in V.LAYER_SIZES.items())
 query("metadata_count", _INVENTORY)(_inventory)
 query("check_layer_inventory",
-      "SELECT layer, CAST(relations AS INTEGER) AS expected_relations, relations AS actual_relations, total_rows, 'PASS' AS status "
-      f"FROM ({_INVENTORY})")(lambda c: V.check_layer_inventory(_inventory(c)))
+      f"SELECT layer, expected_relations, relations AS actual_relations, total_rows, {_status('relations = expected_relations')} "
+      f"FROM (SELECT *, CAST(CASE layer {_EXPECTED} END AS INTEGER) AS expected_relations FROM ({_INVENTORY}))")(lambda c: V.check_layer_inventory(_inventory(c)))
