@@ -25,7 +25,7 @@ from parcelwing.llm.common import bounded, stored
 from parcelwing.llm.tokens import piece_encoder
 
 CAPACITY = 2048
-WINDOWS = 256            # windows of a block, about
+WINDOWS = 128            # windows of a block, about
 BLOCK_PIECES = 16_384    # pieces of a block, about
 GRAIN = 32               # tokens of a grain
 GRAINS_OF = 8            # one document in so many becomes grains
@@ -56,45 +56,64 @@ def _pieces(tokenizer: str, end: int, capacity: int, added: bool, batches) -> It
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in list(zip(*rows)) or [[]] * 5], names=_COLUMNS)
 
 
-Partition = tuple[np.ndarray, np.ndarray, np.ndarray]   # per window, fullest first: tokens, first piece, last piece
+Partition = tuple[np.ndarray, np.ndarray, np.ndarray]   # per window, emptiest first: tokens, first piece, last piece
+
+
+def _merged(one: Partition, other: Partition, following: np.ndarray) -> Partition:
+    """Two partitions as one, emptiest windows with fullest."""
+    tokens, first, last = one
+    other_tokens, other_first, other_last = (x[::-1] for x in other)
+    both = (last >= 0) & (other_first >= 0)
+    following[last[both]] = other_first[both]
+    tokens = tokens + other_tokens
+    first, last = np.where(first >= 0, first, other_first), np.where(other_last >= 0, other_last, last)
+    order = np.argsort(tokens, kind="stable")
+    return tokens[order], first[order], last[order]
+
+
+def _taken(one: Partition, piece: int, size: int, following: np.ndarray) -> Partition:
+    """A partition with one more piece, in its emptiest window, which moves up to its new place."""
+    tokens, first, last = one
+    size += int(tokens[0])
+    begin, end = int(first[0]), int(last[0])
+    if end >= 0:
+        following[end] = piece
+    to = max(int(tokens.searchsorted(size)) - 1, 0)
+    for column, value in ((tokens, size), (first, begin if begin >= 0 else piece), (last, piece)):
+        column[:to] = column[1:to + 1]
+        column[to] = value
+    return one
 
 
 def differenced(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of each window, and the window of each piece.
+    """Tokens of each window, fullest first, and the window of each piece.
 
     A window's pieces form a chain, so that two windows join in one step.
     """
     following = np.full(len(sizes), -1)
-
-    def opened(held: int | Partition) -> Partition:
-        if not isinstance(held, int):
-            return held
-        tokens, ends = np.zeros(windows, np.int64), np.full(windows, -1)
-        tokens[0], ends[0] = sizes[held], held
-        return tokens, ends, ends.copy()
-
-    heap: list[tuple[int, int, int | Partition]] = [(-n, at, at) for at, n in enumerate(sizes.tolist())]
+    lengths = sizes.tolist()
+    heap: list[tuple[int, int, int | Partition]] = [(-n, at, at) for at, n in enumerate(lengths)]
     heapq.heapify(heap)
     number = len(heap)
-    while len(heap) > 1:
-        one, first, last = opened(heapq.heappop(heap)[2])
-        other, other_first, other_last = (x[::-1] for x in opened(heapq.heappop(heap)[2]))
-        both = (last >= 0) & (other_first >= 0)
-        following[last[both]] = other_first[both]
-        tokens = one + other
-        first, last = np.where(first >= 0, first, other_first), np.where(other_last >= 0, other_last, last)
-        order = np.argsort(-tokens, kind="stable")
-        tokens = tokens[order]
-        imbalance = int(tokens[0] - tokens[-1]) if windows > 1 else int(tokens[0])
-        heapq.heappush(heap, (-imbalance, number, (tokens, first[order], last[order])))
+    while len(heap) > 1 or isinstance(heap[0][2], int):
+        held = heapq.heappop(heap)[2]
+        if isinstance(held, int):
+            held, piece = (np.zeros(windows, np.int64), np.full(windows, -1), np.full(windows, -1)), held
+            held = _taken(held, piece, lengths[piece], following)
+        if heap:
+            other = heap[0][2]
+            held = _taken(held, other, lengths[other], following) if isinstance(other, int) else _merged(held, other, following)
+            heapq.heapreplace(heap, (int(held[0][0] - held[0][-1]), number, held))
+        else:
+            heap.append((0, number, held))
         number += 1
-    tokens, first, _ = opened(heap[0][2])
+    tokens, first, _ = heap[0][2]
     where = np.zeros(len(sizes), np.int64)
-    for window, piece in enumerate(first.tolist()):
+    for window, piece in enumerate(first[::-1].tolist()):
         while piece >= 0:
             where[piece] = window
             piece = int(following[piece])
-    return tokens, where
+    return tokens[::-1], where
 
 
 def windowed(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[int, np.ndarray]:
