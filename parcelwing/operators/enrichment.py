@@ -15,6 +15,7 @@ from parcelwing import rules
 from parcelwing.functions import columns as C
 from parcelwing.functions.text import name_tokens, sentences
 
+FINER = 2        # levels below the one whose cells hold a whole bounding box
 FINEST = 20      # levels of the cell tree: the finest cells are about 40 m wide
 
 
@@ -47,10 +48,10 @@ def undominated_zones(zones: DataFrame) -> DataFrame:
 
 
 def zone_cells(zones: DataFrame) -> DataFrame:
-    """Zones under the cells of a tree: each at the finest level whose cells are as wide as its bounding box.
+    """Zones under the cells of a tree: each at a level whose cells are a fourth to a half of its bounding box.
 
-    So a zone touches four cells at most, whatever its size, and small zones in
-    a crowded city lie in small cells.
+    So a zone touches 36 cells at most, whatever its size, small zones in a
+    crowded city lie in small cells, and few points meet a zone they are not near.
     """
     lat_half = F.col("radius_km") / (rules.EARTH_RADIUS_KM * F.radians(F.lit(1.0))) * 1.001
     edge = F.abs("center_lat") + lat_half
@@ -58,11 +59,11 @@ def zone_cells(zones: DataFrame) -> DataFrame:
     sized = undominated_zones(zones.select("zone_id", "center_lat", "center_lon", "radius_km")).withColumns(
         {"_lat_half": lat_half, "_lon_half": lon_half})
     widest = F.greatest("_lat_half", "_lon_half", F.lit(1e-9)) * 2
-    level = F.greatest(F.lit(0), F.least(F.lit(FINEST), F.floor(F.log2(F.lit(360.0) / widest)).cast("int")))
+    level = F.greatest(F.lit(0), F.least(F.lit(FINEST), F.floor(F.log2(F.lit(360.0) / widest)).cast("int") + FINER))
     placed = sized.withColumn("_level", level)
     rows = placed.withColumn("_y", F.explode(_rows(F.col("center_lat"), F.col("_lat_half"), F.col("_level"))))
     cells = rows.withColumn("_column", F.explode(_columns(F.col("center_lon"), F.col("_lon_half"), F.col("_level"))))
-    return cells.withColumn("_x", _around(F.col("_column"), F.col("_level"))).drop("_column", "_lat_half", "_lon_half")
+    return cells.withColumn("_x", _around(F.col("_column"), F.col("_level"))).drop("_column", "_lon_half")
 
 
 def zone_assignment(orders: DataFrame, zones: DataFrame) -> DataFrame:
@@ -81,7 +82,8 @@ def zone_assignment(orders: DataFrame, zones: DataFrame) -> DataFrame:
         "order_id", "dropoff_lat", "dropoff_lon", "_level", _cell(F.col("dropoff_lat"), F.col("_level")).alias("_y"),
         _around(_cell(F.col("dropoff_lon"), F.col("_level")), F.col("_level")).alias("_x"))
     km = C.round_half_up(C.haversine_km("dropoff_lat", "dropoff_lon", "center_lat", "center_lon"), 6)
-    inside = points.join(placed, ["_level", "_y", "_x"]).withColumn("distance_km", km).filter("distance_km <= radius_km")
+    near = F.abs(F.col("dropoff_lat") - F.col("center_lat")) <= F.col("_lat_half")
+    inside = points.join(placed, ["_level", "_y", "_x"]).filter(near).withColumn("distance_km", km).filter("distance_km <= radius_km")
     nearest = inside.groupBy("order_id").agg(F.min(F.struct("distance_km", "zone_id")).alias("_best"))
     return orders.select("order_id").join(nearest, "order_id", "left").select(
         "order_id", "_best.zone_id", "_best.distance_km")
