@@ -21,6 +21,9 @@ INSERT, DELETE = "INSERT", "DELETE"
 ACTION, IS_UPDATE, ROW_ID = "_cdc_action", "_cdc_is_update", "_cdc_row_id"
 METADATA = (ACTION, IS_UPDATE, ROW_ID)
 VERSION = "_cdc_version"
+# types whose values a hash tells apart as a comparison does
+FLAT = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz", "string",
+        "binary", "variant")
 
 
 def row_id(keys: list[str]) -> Column:
@@ -34,31 +37,43 @@ def initial_snapshot(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumns({ACTION: F.lit(INSERT), IS_UPDATE: F.lit(False), ROW_ID: row_id(keys)})
 
 
-def _pair(name: str, present: Column, image: Column, update: Column, action: str) -> Column:
-    entry = F.struct(F.lit(action).alias(ACTION), update.alias(IS_UPDATE), image.alias("_image"))
-    return F.when(present, entry).alias(name)
+def _mark(df: DataFrame, columns: list[str]) -> Column:
+    """What stands for an image in a comparison: 128 bits over the columns of flat types, and the others as they are.
+
+    Nulls are told apart by a flag beside each value. Inside arrays and structs
+    a hash passes over them, so columns of such types are compared themselves.
+    """
+    types = dict(df.dtypes)
+    flat = [c for c in columns if types[c] in FLAT or types[c].startswith("decimal")]
+    values = [v for form in comparable(df, flat, named=False) for v in (form, form.isNull())]
+    hashes = [F.xxhash64(F.lit(seed), *values).alias(f"_{seed}") for seed in (1, 2)]
+    return F.struct(*hashes, *[df[c] for c in columns if c not in flat])
 
 
 def _emit(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
-    """Turn `_old` and `_new` images (null where absent) into change rows.
+    """Turn `_old` and `_new` images into change rows.
 
-    `_was` and `_is` are the same images in a form that can be compared.
+    `_was` and `_is` stand for the same images in comparisons and are null where
+    an image is absent; images that nobody asks for are not read here, so they
+    do not travel.
     """
-    old, new = F.col("_old"), F.col("_new")
-    update = old.isNotNull() & new.isNotNull()
-    changed = df.filter(~F.col("_was").eqNullSafe(F.col("_is")))
-    entries = F.array_compact(F.array(
-        _pair("removed", old.isNotNull(), old, update, DELETE), _pair("added", new.isNotNull(), new, update, INSERT)))
-    rows = changed.select(F.explode(entries).alias("_e")).select("_e.*")
-    return rows.select(*[F.col("_image")[c].alias(c) for c in columns], ACTION, IS_UPDATE).withColumn(ROW_ID, row_id(keys))
+    was, now = F.col("_was"), F.col("_is")
+    actions = F.array_compact(F.array(F.when(was.isNotNull(), DELETE), F.when(now.isNotNull(), INSERT)))
+    rows = df.filter(~was.eqNullSafe(now)).select(
+        "_old", "_new", (was.isNotNull() & now.isNotNull()).alias(IS_UPDATE), F.explode(actions).alias(ACTION))
+    image = F.when(F.col(ACTION) == DELETE, F.col("_old")).otherwise(F.col("_new"))
+    return rows.select(*[image[c].alias(c) for c in columns], ACTION, IS_UPDATE).withColumn(ROW_ID, row_id(keys))
 
 
 def changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Net changes that turn one version of a table into another; keys are unique."""
+    """Net changes that turn one version of a table into another; keys are unique.
+
+    Both versions meet by key with their images and a mark of 128 bits each,
+    which tells whether they differ.
+    """
     columns = old.columns
-    before = old.select(*keys, F.struct(*columns).alias("_old"), F.struct(*comparable(old, columns)).alias("_was"))
-    after = new.select(*keys, F.struct(*[new[c] for c in columns]).alias("_new"),
-                       F.struct(*comparable(new, columns)).alias("_is"))
+    before = old.select(*keys, F.struct(*columns).alias("_old"), _mark(old, columns).alias("_was"))
+    after = new.select(*keys, F.struct(*[new[c] for c in columns]).alias("_new"), _mark(new, columns).alias("_is"))
     return _emit(before.join(after, keys, "full_outer"), columns, keys)
 
 

@@ -114,3 +114,26 @@ def test_streams_with_other_checkpoints_keep_their_folders(spark):
         rows.write.parquet(inbox)
         jobs.apply_changes(jobs.change_stream(spark, inbox, rows.schema), log, session.scratch(spark, "checkpoint"))
     assert content(jobs.current_state(v0, log, keys, after=0)) == content(v2)
+
+
+def test_counting_changes_moves_no_images(spark, capsys):
+    """Two versions meet by key and mark; columns that nobody asks for stay out of the join."""
+    old, new = frame(spark, {1: ("a", 1), 2: ("b", 2)}), frame(spark, {1: ("a", 2)})
+    counted = cdc.changes(old, new, ["id"]).groupBy(cdc.ACTION, cdc.IS_UPDATE).count()
+    assert content(counted) == sorted([("DELETE", False, 1), ("DELETE", True, 1), ("INSERT", True, 1)], key=str)
+    counted.explain("formatted")
+    joined = capsys.readouterr().out.split("Exchange\n")[1:]
+    assert joined and not any("_old" in part or "_new" in part for part in joined)
+
+
+def test_marks_tell_nulls_zeros_and_nested_values_as_a_comparison_does(spark):
+    schema = "id int, a string, b string, x double, l array<int>, s struct<p: int, q: int>, v decimal(9, 2)"
+    base = ("p", None, 0.0, [None, 1], (None, 1), None)
+    nan = float("nan")
+    others = [(None, "p", *base[2:]), ("", *base[1:]), (*base[:3], [1, None], *base[4:]), (*base[:4], (1, None), None),
+              (*base[:2], nan, *base[3:]), (*base[:3], None, *base[4:]), (*base[:2], 1e-300, *base[3:])]
+    same = [base, (*base[:2], -0.0, *base[3:])]
+    rows = [*others, *same]
+    old = spark.createDataFrame([(k, *base) for k in range(len(rows))] + [(99, None, None, nan, None, None, None)], schema)
+    new = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)] + [(99, None, None, nan, None, None, None)], schema)
+    assert {r.id for r in cdc.changes(old, new, ["id"]).collect()} == set(range(len(others)))
