@@ -1,12 +1,14 @@
 """Packing token sequences: a configuration linear program over the histogram of lengths.
 
 A configuration says how many pieces of which lengths share a sequence. The
-program asks for the fewest configurations that cover the histogram. It is
-solved by multiplicative weights: each length has a price, a knapsack dynamic
-program finds the most valuable configuration, which is used for a share of what
-is left, and the prices of what it covers fall. Whole uses are kept, the rest is
-placed best fit, longest first. All this sees the histogram alone, 2048 numbers;
-rows meet the plan by their running number within their length.
+program asks for the fewest configurations that cover the histogram. Each length
+has a price, more for lengths that lie behind; a knapsack dynamic program finds
+the most valuable ways to fill the room beside each length, which are used whole
+times for a share of what is left, and prices are renewed, until every piece is
+covered. Configurations that leave much room are dissolved and their pieces
+placed best fit, longest first, where that takes fewer sequences. All this sees
+the histogram alone, 2048 numbers; rows meet the plan by their running number
+within their length.
 """
 
 from __future__ import annotations
@@ -25,59 +27,91 @@ from parcelwing.llm.common import bounded, numbered, stored
 from parcelwing.llm.tokens import piece_encoder
 
 CAPACITY = 2048
-ROUNDS = 150          # pricing problems solved
-RATE = 0.5            # how fast prices of covered lengths fall
+ROUNDS = 40           # pricing problems until all that a configuration can take is taken; more follow while pieces are left
+RATE = 0.02           # how much dearer lengths are that lie behind
+LONGER = 1.0          # how much dearer a token is in a piece of the whole capacity
+SLACK = 20            # room left from which a configuration is tried again by best fit
 BUCKET_ROWS = 100_000
 
 Config = tuple[tuple[int, int], ...]   # (length, copies), longest first
 
 
-def priciest(lengths: np.ndarray, prices: np.ndarray, counts: np.ndarray, capacity: int) -> dict[int, int]:
-    """Most valuable multiset of lengths that fits, by dynamic programming over the capacity."""
-    best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for room in range(int(lengths[0]), capacity + 1):
-        fit = np.searchsorted(lengths, room, "right")
-        values = best[room - lengths[:fit]] + prices[:fit]
+def priciest(prices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Value of each room's most valuable multiset of lengths, and the length that it takes first, 0 for none.
+
+    `prices` is indexed by length, from 0 to the capacity; lengths without a
+    price have -inf. An unbounded knapsack by dynamic programming.
+    """
+    capacity = len(prices) - 1
+    backward = np.zeros(capacity + 1)      # backward[capacity - room] is the value of room
+    pick = np.zeros(capacity + 1, np.int64)
+    for room in range(1, capacity + 1):
+        values = backward[capacity - room + 1:] + prices[1:room + 1]
         at = int(values.argmax())
-        if values[at] > best[room - 1] + 1e-15:
-            best[room], pick[room] = values[at], at
+        before = backward[capacity - room + 1]
+        if values[at] > before:
+            backward[capacity - room], pick[room] = values[at], at + 1
         else:
-            best[room] = best[room - 1]
-    out: dict[int, int] = {}
-    room = capacity
+            backward[capacity - room] = before
+    return backward[::-1], pick
+
+
+def _filled(length: int, pick: list[int], left: list[int]) -> dict[int, int]:
+    """A piece of `length` and the most valuable others in the room it leaves; none if one of them ran out since the pricing.
+
+    A length that the room takes more often than there are pieces makes way for what fits in less room.
+    """
+    out, room = {length: 1}, len(pick) - 1 - length
     while room > 0:
-        if pick[room] < 0:
+        one = pick[room]
+        if one and not left[one]:
+            return {}
+        if one and out.get(one, 0) < left[one]:
+            out[one] = out.get(one, 0) + 1
+            room -= one
+        else:
             room -= 1
-            continue
-        at = int(pick[room])
-        if out.get(at, 0) < counts[at]:
-            out[at] = out.get(at, 0) + 1
-        room -= int(lengths[at])
     return out
 
 
-def fractional_cover(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[Config, float]:
-    """Configurations with how often each is used, covering nearly all counts."""
-    prices = lengths / capacity
-    use: dict[Config, float] = {}
-    covered = np.zeros(len(lengths))
-    for _ in range(rounds):
-        left = 1 - covered / counts
-        if left.max() <= 1e-9:
-            break
-        weight = prices * np.exp(-RATE * rounds / 10 * covered / counts)
-        weight[left <= 1e-9] = 0
-        chosen = priciest(lengths, weight, counts, capacity)
-        if not chosen:
-            break
-        at = np.array(sorted(chosen))
-        copies = np.array([chosen[k] for k in at])
-        most = ((counts[at] - covered[at]) / copies).min()
-        # a whole share of the tightest length at first, so that all lengths keep partners
-        share = max(min(most, (counts[at] / copies).min() * 10 / rounds), min(most, 1.0))
-        covered[at] += share * copies
-        config = tuple((int(lengths[k]), int(c)) for k, c in zip(at[::-1], copies[::-1]))
-        use[config] = use.get(config, 0.0) + share
+def cover(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[Config, int]:
+    """Configurations with how often each is used; every piece of the histogram lies in exactly one use.
+
+    A round prices the lengths, solves the knapsack once and completes each
+    length, the longest first, by the most valuable others. Of what a
+    configuration could still take, a round uses a share that grows from
+    1 / rounds to all of it, so `rounds` sets how often prices are renewed, not
+    how much is placed: it goes on until nothing is left. From then on each
+    round uses up a length at least, so there are at most `capacity` more.
+    """
+    left = [0] * (capacity + 1)
+    for length, count in histogram.items():
+        left[length] = count
+    lengths = np.array(sorted(histogram))
+    counts = np.array([histogram[n] for n in lengths], float)
+    use: dict[Config, int] = {}
+    number = 0
+    while any(left):
+        there = np.array([left[n] for n in lengths], float)
+        behind = there / counts
+        # long pieces are worth a little more than their length: what is left of a room is for short ones
+        worth = lengths / capacity * (1 + LONGER * lengths / capacity)
+        prices = np.full(capacity + 1, -np.inf)
+        prices[lengths] = np.where(there > 0, worth * np.exp(RATE * (behind - there.sum() / counts.sum())), -np.inf)
+        pick = priciest(prices)[1].tolist()
+        for length in lengths[there > 0][::-1].tolist():
+            if not left[length]:
+                continue
+            config = _filled(length, pick, left)
+            if not config:
+                continue
+            most = min(left[n] // c for n, c in config.items())
+            times = -(-most // max(1, rounds - number))
+            for n, c in config.items():
+                left[n] -= c * times
+            key = tuple(sorted(config.items(), reverse=True))
+            use[key] = use.get(key, 0) + times
+        number += 1
     return use
 
 
@@ -127,17 +161,16 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Conf
     if capacity in left:
         out.append((((capacity, 1),), left.pop(capacity)))
     if partial_:
-        lengths = np.array(sorted(partial_))
-        counts = np.array([partial_[n] for n in lengths], float)
-        use = fractional_cover(lengths, counts, capacity)
-        full = lambda config: sum(n * c for n, c in config)
-        for config, times in sorted(use.items(), key=lambda item: -full(item[0])):
-            whole = min(int(times + 1e-9), *(left[n] // c for n, c in config))
-            if whole:
-                out.append((config, whole))
-                for n, c in config:
-                    left[n] -= whole * c
-        out += best_fit({n: c for n, c in left.items() if c}, capacity)
+        # emptiest last: their pieces are placed again, best fit, where that takes fewer sequences
+        found = sorted(cover(partial_, capacity).items(), key=lambda item: -sum(n * c for n, c in item[0]))
+        cut = next((k for k, (config, _) in enumerate(found) if sum(n * c for n, c in config) < capacity - SLACK), len(found))
+        rest: dict[int, int] = {}
+        for config, times in found[cut:]:
+            for n, c in config:
+                rest[n] = rest.get(n, 0) + times * c
+        again = best_fit(rest, capacity)
+        fewer = sum(times for _, times in again) < sum(times for _, times in found[cut:])
+        out += found[:cut] + (again if fewer else found[cut:])
     return out
 
 

@@ -158,3 +158,23 @@ def test_packing_plan(seed):
         for n, c in config:
             held[n] += c * times
     assert held == histogram
+
+
+@pytest.mark.parametrize("pieces", [3000, 300_000, 30_000_000])
+@pytest.mark.parametrize("kind", ["even", "short"])
+def test_the_program_places_the_pieces_however_many_they_are(kind, pieces):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    some = min(pieces, 300_000)
+    drawn = rng.integers(1, 2048, some) if kind == "even" else np.clip(rng.lognormal(6, 1, some).astype(int), 1, 2047)
+    histogram = {n: c * (pieces // some) for n, c in Counter(drawn.tolist()).items()}
+    configs = packing.cover(histogram, 2048)
+    held = Counter()
+    for config, times in configs.items():
+        assert sum(n * c for n, c in config) <= 2048
+        held.update({n: c * times for n, c in config})
+    assert held == histogram
+    sequences = sum(times for _, times in packing.plan(histogram))
+    alone = sum(times for _, times in packing.best_fit(histogram, 2048))
+    assert sequences <= alone + max(1, alone // 2000)
