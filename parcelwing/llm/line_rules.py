@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwing.llm.common import plain, set_apart, text_key
+from parcelwing.llm.common import plain, set_apart, stored, text_key
 
 BLANKS = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
@@ -88,23 +88,25 @@ def frequent_lines(docs: DataFrame) -> DataFrame:
     _cut tells by position, to the last such line, which lines go; _lost whether
     too many words go with them.
 
-    Equal texts count as one document. Lines are hashed in the row; only host,
-    text key, position, hash and word count travel, equal texts are combined
-    before the shuffle, and a line that a third of all documents share is
-    counted from partial sums.
+    Equal texts count as one document. Lines are hashed once, in the row, and
+    stored as one row per distinct text, in order; lines travel without the
+    text's key to be counted, a line that a third of all documents share as
+    partial sums.
     """
-    hashed = F.transform(F.split("_text", "\n", -1), lambda line, at: F.struct(
-        at.alias("at"), F.xxhash64(normal_line(line)).alias("line"), F.size(_words(line)).alias("words")))
-    placed = docs.filter("_text is not null").select(
-        "_host", "_key", F.explode(F.filter(hashed, lambda line: line["words"] > 0)).alias("l"))
-    distinct = placed.groupBy("_host", "_key", F.col("l.at").alias("at"), F.col("l.line").alias("line")).agg(
-        F.max("l.words").alias("words"))
-    hosts = docs.filter("_text is not null").select("_host", "_key").distinct().groupBy("_host").agg(
-        F.count(F.lit(1)).alias("texts"))
-    spread = distinct.groupBy("_host", "line").agg(F.countDistinct("_key").alias("docs"))
-    frequent = spread.filter(F.col("docs") > MIN_LINE_DOCS).join(hosts, "_host").filter(
-        (100 * F.col("docs") > MAX_LINE_PERCENT * F.col("texts")) | (F.col("docs") > MAX_LINE_DOCS)).select("_host", "line", F.lit(1).alias("cut"))
-    marked = distinct.join(frequent, ["_host", "line"], "left")
+    hashed = F.transform(F.split("_text", "\n", -1), lambda line: F.struct(
+        F.xxhash64(normal_line(line)).alias("line"), F.size(_words(line)).alias("words")))
+    texts = stored(docs.filter("_text is not null").select("_host", "_key", hashed.alias("lines")).groupBy(
+        "_host", "_key").agg(F.first("lines").alias("lines")), "lines")
+    with_words = F.filter("lines", lambda line: line["words"] > 0)
+    placed = texts.select("_host", "_key", F.posexplode("lines").alias("at", "l")).filter("l.words > 0").select(
+        "_host", "_key", "at", F.col("l.line").alias("line"), F.col("l.words").alias("words"))
+    hosts = texts.groupBy("_host").agg(F.count(F.lit(1)).alias("texts"))
+    spread = texts.select("_host", F.explode(F.array_distinct(F.transform(with_words, lambda line: line["line"]))).alias(
+        "line")).groupBy("_host", "line").agg(F.count(F.lit(1)).alias("docs"))
+    # stored first: where the list is short, Spark sends it to the lines and these stay where they are
+    frequent = stored(spread.filter(F.col("docs") > MIN_LINE_DOCS).join(hosts, "_host").filter(
+        (100 * F.col("docs") > MAX_LINE_PERCENT * F.col("texts")) | (F.col("docs") > MAX_LINE_DOCS)).select("_host", "line", F.lit(1).alias("cut")), "frequent")
+    marked = placed.join(frequent, ["_host", "line"], "left")
     lost = marked.groupBy("_host", "_key").agg(
         F.sum("words").alias("all"), F.sum(F.when(F.col("cut").isNotNull(), F.col("words"))).alias("removed"),
         F.sort_array(F.collect_list(F.when(F.col("cut").isNotNull(), F.col("at")))).alias("ats"))

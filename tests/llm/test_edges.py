@@ -178,3 +178,12 @@ def test_the_program_places_the_pieces_however_many_they_are(kind, pieces):
     sequences = sum(times for _, times in packing.plan(histogram))
     alone = sum(times for _, times in packing.best_fit(histogram, 2048))
     assert sequences <= alone + max(1, alone // 2000)
+
+
+def test_lines_travel_once_per_distinct_text(spark, edges):
+    """Hashes of a text's lines are stored once; no later step splits a text again to count them."""
+    from parcelwing.llm.common import text_key
+
+    prepared = edges.select(F.col("text").alias("_text"), text_key().alias("_key"), F.lit("0").alias("_host"))
+    plan = line_rules.frequent_lines(prepared)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan
