@@ -11,8 +11,8 @@ that their bitmaps and sizes allow reaches what a link needs.
 Large groups. Texts with the same set are one vertex. The order of the tokens
 puts the most frequent ones last (a list of fixed length), so a common line or
 phrase is not a meeting place. Tokens that hold the same sets, as those of a
-shared passage do, are one meeting place. A first round links each set to one leader per
-token; what that has joined is one component, and the traversal passes over node
+shared passage do, are one meeting place. A first round links each set to the leaders of
+most of its tokens; what that has joined is one component, and the traversal passes over node
 pairs inside one component, so thousands of near copies cost about one
 comparison each. A token's sets are cut into blocks by size; blocks meet only
 where their size ranges allow a link, each block pair in a task of its own. No
@@ -35,6 +35,7 @@ from parcelwing.llm.shingles import mix, shingle_set, shingle_sets
 
 FREQUENT_TOKENS = 65_536   # length of the list of tokens that the order puts last, 512 KB
 BLOCK = 512                # sets of one token in a block
+LEADERS = 4                # leaders that a set is compared with in the first round; the second round takes all others
 STAR = 256                 # sets that are compared with a leader at once
 SMALL = 32                 # groups up to this size are compared without a tree
 FANOUT = 8
@@ -325,6 +326,18 @@ def _one_token_per_sets(met_at: DataFrame) -> DataFrame:
     return met_at.drop("sets").join(one, "token", "left_semi")
 
 
+def _likely_leaders(led: DataFrame) -> DataFrame:
+    """Pairs (leader a, set b) of the first round: of each set the leaders of most of its tokens.
+
+    In a group of near copies nearly every token has another leader; a link to
+    each would be no news. Pairs that are not tried here meet in the second
+    round, unless a chain of links has joined them by then.
+    """
+    shared = led.groupBy(F.col("lead").alias("a"), F.col("set_id").alias("b")).agg(F.count(F.lit(1)).alias("tokens"))
+    place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("tokens"), "a"))
+    return shared.withColumn("place", place).filter(F.col("place") <= LEADERS).select("a", "b")
+
+
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, set_id, n_shingles, component_id.
 
@@ -357,8 +370,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     live = stored(_one_token_per_sets(met_at), "places")
 
     leader = F.min(F.struct("doc_id", "set_id")).over(token)["set_id"]
-    star = live.withColumn("lead", leader).filter("lead <> set_id").select(
-        F.col("lead").alias("a"), F.col("set_id").alias("b")).distinct()
+    star = _likely_leaders(live.withColumn("lead", leader).filter("lead <> set_id"))
     first, second = (sets.select(F.col("set_id").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
                      for s in "ab")
     alike = (F.col("a_n") * 100 >= percent * F.col("b_n")) & (F.col("b_n") * 100 >= percent * F.col("a_n"))

@@ -187,3 +187,23 @@ def test_lines_travel_once_per_distinct_text(spark, edges):
     prepared = edges.select(F.col("text").alias("_text"), text_key().alias("_key"), F.lit("0").alias("_host"))
     plan = line_rules.frequent_lines(prepared)._jdf.queryExecution().optimizedPlan().toString()
     assert "split(" not in plan
+
+
+def test_first_round_tries_few_leaders_and_links_all(spark):
+    """Near copies of one text, each with changes that some others share: one component, few first links each."""
+    import random
+
+    draw = random.Random(1)
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for k in range(80):
+        words = list(base)
+        for place in draw.sample(range(300), 6):
+            words[place] = f"x{place}_{draw.randint(0, 3)}"
+        texts.append((k, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = jaccard_join.jaccard_components(docs, size=2, percent=80).collect()
+    assert {r.component_id for r in got} == {0}
+    led = spark.createDataFrame([(t, 1000 + t % 40, s) for s in range(50) for t in range(60)], "token long, lead long, set_id long")
+    per_set = jaccard_join._likely_leaders(led).groupBy("b").count().collect()
+    assert len(per_set) == 50 and max(r["count"] for r in per_set) <= jaccard_join.LEADERS
