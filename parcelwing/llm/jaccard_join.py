@@ -13,8 +13,11 @@ puts the most frequent ones last (a list of fixed length), so a common line or
 phrase is not a meeting place. Tokens that hold the same sets, as those of a
 shared passage do, are one meeting place. A first round links each set to the leaders of
 most of its tokens; what that has joined is one component, and the traversal passes over node
-pairs inside one component, so thousands of near copies cost about one
-comparison each. A token's sets are cut into blocks by size; blocks meet only
+pairs inside one component. What it finds below a crowded token is taken in
+rounds, of each set the nearest sets of other components first: where those
+link, the rest has met by then and is never compared; where they do not, a round
+without a limit takes all that is left. Of the pairs that a task compares it
+passes on a spanning forest, so links follow the sets, not their pairs. A token's sets are cut into blocks by size; blocks meet only
 where their size ranges allow a link, each block pair in a task of its own. No
 candidate is dropped anywhere, and every candidate is verified on whole texts.
 """
@@ -35,7 +38,9 @@ from parcelwing.llm.shingles import mix, shingle_set, shingle_sets
 
 FREQUENT_TOKENS = 65_536   # length of the list of tokens that the order puts last, 512 KB
 BLOCK = 512                # sets of one token in a block
-LEADERS = 4                # leaders that a set is compared with in the first round; the second round takes all others
+LEADERS = 4                # leaders that a set is compared with in the first round; later rounds take all others
+NEAREST = 4                # candidates of a set below a crowded token in the first traversal
+MORE = 16                  # times as many in each further one; the third is without a cut, as a set meets fewer than 2 * BLOCK
 STAR = 256                 # sets that are compared with a leader at once
 SMALL = 32                 # groups up to this size are compared without a tree
 FANOUT = 8
@@ -210,8 +215,11 @@ class Tree:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def _traverse(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of rows sorted by (token, i, j, n); a group that the batch cuts is carried on."""
+def _traverse(percent: int, nearest: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of rows sorted by (token, i, j, n); a group that the batch cuts is carried on.
+
+    Tokens of which some candidates wait for another round come in the column `waits`.
+    """
     rest = None
     for batch in batches:
         part = pa.Table.from_batches([batch.cast(_CARRIED)])
@@ -224,14 +232,23 @@ def _traverse(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
             rest = part
             continue
         rest = part.slice(change[-1])
-        yield _pairs_of(part.slice(0, change[-1]), np.concatenate(([0], change)), percent)
+        yield _pairs_of(part.slice(0, change[-1]), np.concatenate(([0], change)), percent, nearest)
     if rest is not None and rest.num_rows:
         keys = np.stack([rest.column(c).to_numpy() for c in ("token", "i", "j")])
         change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-        yield _pairs_of(rest, np.concatenate(([0], change, [rest.num_rows])), percent)
+        yield _pairs_of(rest, np.concatenate(([0], change, [rest.num_rows])), percent, nearest)
+
 
+def _nearest(u: np.ndarray, v: np.ndarray, likeness: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the `most` likeliest of one of their ends."""
+    ends, others = np.concatenate((u, v)), np.concatenate((v, u))
+    order = np.lexsort((others, -np.tile(likeness, 2), ends))
+    place = np.empty(len(ends), np.int64)
+    place[order] = np.arange(len(ends)) - np.searchsorted(ends[order], ends[order])
+    return np.minimum(place[:len(u)], place[len(u):]) < most
 
-def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int) -> pa.RecordBatch:
+
+def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int, nearest: int) -> pa.RecordBatch:
     ids, n, comp = (rows.column(c).to_numpy() for c in ("set_id", "n", "comp"))
     bits = opened(rows.column("bits").to_pylist())
     sizes = np.diff(cuts)
@@ -248,48 +265,65 @@ def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int) -> pa.RecordBatch:
             if pair not in pairs and _bound(bits[at], int(n[at]), bits[at + shift],
                                             int(n[at + shift])) >= _needed(int(n[at]), int(n[at + shift]), percent):
                 pairs[pair] = int(names[at])
+    waits = set()
     for number in np.flatnonzero(sizes > SMALL).tolist():
         low, high = int(cuts[number]), int(cuts[number + 1])
         tree = Tree(n[low:high], comp[low:high], bits[low:high])
         u, v = tree.candidates(percent)
         own = range(low, high)
-        near = [_bound(bits[own[x]], int(n[own[x]]), bits[own[y]], int(n[own[y]])) >= _needed(
-            int(n[own[x]]), int(n[own[y]]), percent) for x, y in zip(u.tolist(), v.tolist())]
-        u, v = u[near], v[near]
-        x, y = ids[low + u], ids[low + v]
+        other = comp[low + u] != comp[low + v]
+        u, v = u[other], v[other]
+        most = np.array([_bound(bits[own[x]], int(n[own[x]]), bits[own[y]], int(n[own[y]]))
+                         for x, y in zip(u.tolist(), v.tolist())], np.int64)
+        both = n[low + u] + n[low + v]
+        near = most >= _needed(n[low + u], n[low + v], percent)
+        u, v, likeness = u[near], v[near], (most / both)[near]
+        taken = _nearest(u, v, likeness, nearest)
+        if not taken.all():
+            waits.add(int(rows.column("token")[low].as_py()))
+        x, y = ids[low + u[taken]], ids[low + v[taken]]
         pairs.update(dict.fromkeys(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()), int(names[low])))
-    found = [(g, a, b) for (a, b), g in pairs.items() if a != b]
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(3)],
-                                      names=["g", "a", "b"])
+    found = [(g, a, b, None) for (a, b), g in pairs.items() if a != b] + [(None, None, None, w) for w in sorted(waits)]
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(4)],
+                                      names=["g", "a", "b", "waits"])
 
 
 # -- verification ------------------------------------------------------------
 
 def _compare(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links among the texts of a group; rows are sorted by group and name the partners to compare with."""
-    current, sets, asked = None, {}, {}
+    current, sets, asked, comps = None, {}, {}, {}
     for batch in bounded(batches, "text", 4 << 20):
         out = []
         found = shingle_sets(encoded(batch, "text"), size)
-        for group, name, partners, tokens in zip(*(batch.column(c).to_pylist() for c in ("g", "set_id", "partners")), found):
+        named = (batch.column(c).to_pylist() for c in ("g", "set_id", "comp", "partners"))
+        for group, name, comp, partners, tokens in zip(*named, found):
             if group != current:
-                out += _links(sets, asked, percent)
-                current, sets, asked = group, {}, {}
+                out += _links(sets, asked, comps, percent)
+                current, sets, asked, comps = group, {}, {}, {}
             if _set_id(tokens) == name:
-                sets[name] = tokens
-                asked[name] = partners
+                sets[name], asked[name], comps[name] = tokens, partners, comp
         yield _pair_batch(out)
-    yield _pair_batch(_links(sets, asked, percent))
+    yield _pair_batch(_links(sets, asked, comps, percent))
+
+
+def _links(sets: dict[int, np.ndarray], asked: dict[int, list[int]], comps: dict[int, int],
+           percent: int) -> list[tuple[int, int]]:
+    """Links that join the components of a group's sets; a pair that earlier links have joined is not compared."""
+    out, above = [], {}
 
+    def top(c: int) -> int:
+        while c in above:
+            above[c] = c = above.get(above[c], above[c])
+        return c
 
-def _links(sets: dict[int, np.ndarray], asked: dict[int, list[int]], percent: int) -> list[tuple[int, int]]:
-    out = []
     for a, partners in asked.items():
         for b in partners:
-            if b in sets:
+            if b in sets and (x := top(comps[a])) != (y := top(comps[b])):
                 both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
                 if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     out.append((a, b))
+                    above[max(x, y)] = min(x, y)
     return out
 
 
@@ -297,22 +331,35 @@ def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs(g, a, b) that link, by exact comparison of the whole texts.
+def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, percent: int,
+              joined: DataFrame | None = None) -> DataFrame:
+    """Of the pairs(g, a, b) that link, by exact comparison of the whole texts, those that join components.
 
     A group g is what a task compares at once: its sets are few, and each text
-    is sent to it once, however many pairs it stands in.
+    is sent to it once, however many pairs it stands in. joined(set_id,
+    component) tells what earlier links have joined. A group returns fewer
+    links than it has components; they reach whatever all its links reach.
     """
     ends = pairs.select("g", F.col("a").alias("set_id"), F.col("b").alias("partner")).union(
         pairs.select("g", "b", F.lit(None).cast("long")))
     members = stored(ends.groupBy("g", "set_id").agg(F.collect_list("partner").alias("partners")), "members")
-    names = stored(reps.join(members.select("set_id").distinct(), "set_id"), "wanted")
-    texts = stored(docs.join(names, "doc_id").select("set_id", "text"), "texts")
-    dealt = members.join(texts, "set_id").select("g", "set_id", "partners", "text").repartition(
+    wanted = reps.join(members.select("set_id").distinct(), "set_id").select("set_id", "doc_id")
+    if joined is None:
+        named = wanted.withColumn("comp", F.col("set_id"))
+    else:
+        named = wanted.join(joined, "set_id", "left").select("set_id", "doc_id", _component())
+    names = stored(named, "wanted")
+    texts = stored(docs.join(names, "doc_id").select("set_id", "comp", "text"), "texts")
+    dealt = members.join(texts, "set_id").select("g", "set_id", "comp", "partners", "text").repartition(
         "g").sortWithinPartitions("g")
     return dealt.mapInArrow(partial(_compare, size, percent), "a long, b long").distinct()
 
 
+def _component() -> Column:
+    """Component of a set; one that no link has joined is its own."""
+    return F.coalesce("component", "set_id").alias("comp")
+
+
 def _same_sets(token: WindowSpec) -> Column:
     """Key of the sets that stand under a token: their number, a sum that repeats cannot cancel, and a checksum of their ids."""
     return F.struct(F.count(F.lit(1)).over(token).alias("many"),
@@ -338,6 +385,38 @@ def _likely_leaders(led: DataFrame) -> DataFrame:
     return shared.withColumn("place", place).filter(F.col("place") <= LEADERS).select("a", "b")
 
 
+def _crossing(places: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, nearest: int) -> DataFrame:
+    """Candidates (g, a, b) between components below the tokens of places; rows with `waits` name a token that has more.
+
+    In the first traversal a block meets itself and the next one only.
+    """
+    token = Window.partitionBy("token")
+    by_size = token.orderBy("n", "set_id")
+    known = places.join(labels, "set_id", "left").select("token", "set_id", "n", _component())
+    mixed = known.withColumns({
+        "block": F.floor((F.row_number().over(by_size) - 1) / BLOCK), "many": F.min("comp").over(token) != F.max(
+            "comp").over(token), "last": F.floor((F.count(F.lit(1)).over(token) - 1) / BLOCK)}).filter("many")
+    open_ = stored(mixed.drop("many"), "open")
+    alone = open_.filter("last = 0").withColumns({"i": F.lit(0).cast("long"), "j": F.lit(0).cast("long")})
+    large = open_.filter("last > 0")
+    nodes = large.groupBy("token", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    left = nodes.select("token", F.col("block").alias("i"), F.col("high").alias("i_high"))
+    right = nodes.select("token", F.col("block").alias("j"), F.col("low").alias("j_low"))
+    all_meets = left.join(right, "token").filter((F.col("i") <= F.col("j")) & (
+        F.col("i_high") * 100 >= percent * F.col("j_low"))).select("token", "i", "j")
+    later = (F.col("j") - F.col("i") > 1) & F.lit(nearest == NEAREST)
+    meets = all_meets.filter(~later)
+    split = large.join(meets, "token").filter("block = i or block = j")
+    columns = ["token", "i", "j", "set_id", "n", "comp"]
+    placed = alone.select(*columns).union(split.select(*columns)).join(sets.select("set_id", "bits"), "set_id")
+    dealt = placed.select(*columns, "bits").repartition("token", "i", "j").sortWithinPartitions(
+        "token", "i", "j", "n", "set_id")
+    met = dealt.mapInArrow(partial(_traverse, percent, nearest), "g long, a long, b long, waits long")
+    none = F.lit(None).cast("long")
+    skipped = all_meets.filter(later).select(none.alias("g"), none.alias("a"), none.alias("b"), F.col("token").alias("waits"))
+    return met.union(skipped).groupBy("a", "b", "waits").agg(F.min("g").alias("g"))
+
+
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, set_id, n_shingles, component_id.
 
@@ -381,31 +460,18 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     stars = tried.join(many, "a").select(spread, "a", "b")
     star_links = stored(_verified(stars, base, reps, size, percent), "links")
 
-    labels = connected(star_links).withColumnRenamed("vertex", "set_id")
-    known = live.join(labels, "set_id", "left").select(
-        "token", "set_id", "n", F.coalesce("component", "set_id").alias("comp"))
-    mixed = known.withColumns({
-        "block": F.floor((F.row_number().over(by_size) - 1) / BLOCK), "many": F.min("comp").over(token) != F.max(
-            "comp").over(token), "last": F.floor((F.count(F.lit(1)).over(token) - 1) / BLOCK)}).filter("many")
-    open_ = stored(mixed.drop("many"), "open")
-    alone = open_.filter("last = 0").withColumns({"i": F.lit(0).cast("long"), "j": F.lit(0).cast("long")})
-    large = open_.filter("last > 0")
-    nodes = large.groupBy("token", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    left = nodes.select("token", F.col("block").alias("i"), F.col("high").alias("i_high"))
-    right = nodes.select("token", F.col("block").alias("j"), F.col("low").alias("j_low"))
-    meets = left.join(right, "token").filter((F.col("i") <= F.col("j")) & (
-        F.col("i_high") * 100 >= percent * F.col("j_low"))).select("token", "i", "j")
-    split = large.join(meets, "token").filter("block = i or block = j")
-    columns = ["token", "i", "j", "set_id", "n", "comp"]
-    placed = alone.select(*columns).union(split.select(*columns)).join(sets.select("set_id", "bits"), "set_id")
-    dealt = placed.select(*columns, "bits").repartition("token", "i", "j").sortWithinPartitions(
-        "token", "i", "j", "n", "set_id")
-    met = dealt.mapInArrow(partial(_traverse, percent), "g long, a long, b long")
-    crossing = stored(met.groupBy("a", "b").agg(F.min("g").alias("g")), "crossing")
-    links = _verified(crossing, base, reps, size, percent)
-
-    final = connected(star_links.union(links)).withColumnRenamed("vertex", "set_id")
-    named = reps.join(final, "set_id", "left").select("set_id", "doc_id", F.coalesce("component", "set_id").alias("c"))
+    labels, rest, nearest = connected(star_links).withColumnRenamed("vertex", "set_id"), live, NEAREST
+    while True:
+        met = stored(_crossing(rest, labels, sets, percent, nearest), "crossing")
+        links = stored(_verified(met.filter("waits is null").drop("waits"), base, reps, size, percent, labels), "links")
+        joined = labels.select(F.col("set_id").alias("a"), F.col("component").alias("b")).union(links)
+        labels = connected(joined).withColumnRenamed("vertex", "set_id")
+        waiting = met.filter("waits is not null").select(F.col("waits").alias("token"))
+        if waiting.isEmpty():
+            break
+        rest, nearest = live.join(waiting, "token", "left_semi"), nearest * MORE
+
+    named = reps.join(labels, "set_id", "left").select("set_id", "doc_id", _component().alias("c"))
     smallest = named.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     of_set = named.join(smallest, "c").select("set_id", "component_id")
     return signed.join(of_set, "set_id", "left").select(

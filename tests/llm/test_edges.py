@@ -207,3 +207,36 @@ def test_first_round_tries_few_leaders_and_links_all(spark):
     led = spark.createDataFrame([(t, 1000 + t % 40, s) for s in range(50) for t in range(60)], "token long, lead long, set_id long")
     per_set = jaccard_join._likely_leaders(led).groupBy("b").count().collect()
     assert len(per_set) == 50 and max(r["count"] for r in per_set) <= jaccard_join.LEADERS
+
+
+def test_links_follow_the_sets_of_a_group_and_not_their_pairs(spark, monkeypatch):
+    """Near copies of which a third are within the limit of each other: few links reach the components, none is lost."""
+    import random
+
+    draw = random.Random(5)
+    texts = []
+    for k in range(300):
+        words = [f"w{place}" for place in range(300)]
+        for place in draw.sample(range(300), draw.choice((3, 4, 4, 5, 9))):
+            words[place] = f"x{place}_{draw.randint(0, 999)}"
+        texts.append(words)
+    sets = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in texts]
+    want = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and want[a] != want[b]:
+                old, new = max(want[a], want[b]), min(want[a], want[b])
+                want = [new if c == old else c for c in want]
+    fed = []
+
+    def counted(edges, connected=jaccard_join.connected):
+        fed.append(edges.count())
+        return connected(edges)
+
+    monkeypatch.setattr(jaccard_join, "connected", counted)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 64)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs, size=5, percent=80).collect()}
+    assert [got[k] for k in range(len(texts))] == want and 1 < len(set(want)) < 100
+    assert max(fed) <= 4 * len(texts)
