@@ -215,7 +215,7 @@ class Tree:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def _traverse(percent: int, nearest: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _traverse(percent: int, nearest: int, block: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate pairs of rows sorted by (token, i, j, n); a group that the batch cuts is carried on.
 
     Tokens of which some candidates wait for another round come in the column `waits`.
@@ -232,11 +232,11 @@ def _traverse(percent: int, nearest: int, batches: Iterator[pa.RecordBatch]) ->
             rest = part
             continue
         rest = part.slice(change[-1])
-        yield _pairs_of(part.slice(0, change[-1]), np.concatenate(([0], change)), percent, nearest)
+        yield _pairs_of(part.slice(0, change[-1]), np.concatenate(([0], change)), percent, nearest, block)
     if rest is not None and rest.num_rows:
         keys = np.stack([rest.column(c).to_numpy() for c in ("token", "i", "j")])
         change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-        yield _pairs_of(rest, np.concatenate(([0], change, [rest.num_rows])), percent, nearest)
+        yield _pairs_of(rest, np.concatenate(([0], change, [rest.num_rows])), percent, nearest, block)
 
 
 def _nearest(u: np.ndarray, v: np.ndarray, likeness: np.ndarray, most: int) -> np.ndarray:
@@ -248,7 +248,7 @@ def _nearest(u: np.ndarray, v: np.ndarray, likeness: np.ndarray, most: int) -> n
     return np.minimum(place[:len(u)], place[len(u):]) < most
 
 
-def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int, nearest: int) -> pa.RecordBatch:
+def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int, nearest: int, block: int) -> pa.RecordBatch:
     ids, n, comp = (rows.column(c).to_numpy() for c in ("set_id", "n", "comp"))
     bits = opened(rows.column("bits").to_pylist())
     sizes = np.diff(cuts)
@@ -272,6 +272,8 @@ def _pairs_of(rows: pa.Table, cuts: np.ndarray, percent: int, nearest: int) -> p
         u, v = tree.candidates(percent)
         own = range(low, high)
         other = comp[low + u] != comp[low + v]
+        if rows.column("i")[low].as_py() != rows.column("j")[low].as_py():    # rows of the lower block come first
+            other &= (u < block) & (v >= block)
         u, v = u[other], v[other]
         most = np.array([_bound(bits[own[x]], int(n[own[x]]), bits[own[y]], int(n[own[y]]))
                          for x, y in zip(u.tolist(), v.tolist())], np.int64)
@@ -408,10 +410,13 @@ def _crossing(places: DataFrame, labels: DataFrame, sets: DataFrame, percent: in
     meets = all_meets.filter(~later)
     split = large.join(meets, "token").filter("block = i or block = j")
     columns = ["token", "i", "j", "set_id", "n", "comp"]
-    placed = alone.select(*columns).union(split.select(*columns)).join(sets.select("set_id", "bits"), "set_id")
+    bits = sets.select("set_id", "bits")
+    if nearest > NEAREST:      # a later round needs few bitmaps; the others are not sent again
+        bits = bits.join(stored(open_.select("set_id").distinct(), "few"), "set_id", "left_semi")
+    placed = alone.select(*columns).union(split.select(*columns)).join(bits, "set_id")
     dealt = placed.select(*columns, "bits").repartition("token", "i", "j").sortWithinPartitions(
         "token", "i", "j", "n", "set_id")
-    met = dealt.mapInArrow(partial(_traverse, percent, nearest), "g long, a long, b long, waits long")
+    met = dealt.mapInArrow(partial(_traverse, percent, nearest, BLOCK), "g long, a long, b long, waits long")
     none = F.lit(None).cast("long")
     skipped = all_meets.filter(later).select(none.alias("g"), none.alias("a"), none.alias("b"), F.col("token").alias("waits"))
     return met.union(skipped).groupBy("a", "b", "waits").agg(F.min("g").alias("g"))
